@@ -168,7 +168,7 @@ def trade_features(
     targets = sorted(set(int(h) for h in targets))
 
     if size_bucket:
-        df = with_size_bucket(df, group_cols, knots=size_knots, block_rows=block_rows, rows_per_bucket=rows_per_bucket)
+        df = with_size_bucket(df, group_cols, knots=size_knots, rows_per_bucket=rows_per_bucket)
 
     s = with_sequence(
         df,

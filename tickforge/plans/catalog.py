@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tickforge.plans import q_bars, q_silver  # noqa: F401
+from tickforge.plans import q_bars, q_features, q_silver  # noqa: F401
+from tickforge.plans.q_features import flagship  # noqa: F401
 from tickforge.plans.registry import REGISTRY
 
 

@@ -5,7 +5,7 @@ E_TAPE = """e AS (
          value AS price,
          CAST(user_id % 7 + 1 AS DOUBLE) AS quantity,
          value * CAST(user_id % 7 + 1 AS DOUBLE) AS quote_quantity,
-         epoch_ms(ts) AS "timestamp",
+         epoch_us(ts) // 1000 AS "timestamp",
          event_type IN ('click', 'error') AS is_buyer_maker,
          event_type <> 'signup' AS is_best_match,
          event_type AS symbol,
@@ -17,7 +17,7 @@ L_TAPE = """l AS (
          l_extendedprice / l_quantity AS price,
          l_quantity AS quantity,
          l_extendedprice AS quote_quantity,
-         epoch_ms(l_shipdate) + 800000000000 AS "timestamp",
+         epoch_us(l_shipdate) // 1000 + 800000000000 AS "timestamp",
          l_returnflag = 'R' AS is_buyer_maker,
          l_linestatus = 'O' AS is_best_match,
          CAST(l_suppkey AS VARCHAR) AS symbol,
