@@ -80,12 +80,15 @@ def with_sequence(
     count_col: str = "n_group",
     first_cols: Sequence[str] = (),
     first_prefix: str = "first_",
+    running_sums: Sequence[str] = (),
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     n_rows: int | None = None,
 ) -> DataFrame:
     """Add ``seq`` (0-based position in group), ``count_col`` (group size) and the group's
-    first-row values ``first_<c>`` for ``c`` in ``first_cols``. Keeps the helper group key
-    column ``_tf_group`` (dropped by :func:`drop_helpers`)."""
+    first-row values ``first_<c>`` for ``c`` in ``first_cols``. For ``c`` in ``running_sums``
+    also ``cum_<c>`` (inclusive running sum in order) and ``total_<c>`` (group sum), carried by
+    the same bucket offsets and the same exchange. Keeps the helper group key column
+    ``_tf_group`` (dropped by :func:`drop_helpers`)."""
     order_cols, group_cols = list(order_cols), list(group_cols)
     base = df.withColumn(GKEY, group_key(group_cols))
     n = base.count() if n_rows is None else n_rows
@@ -93,6 +96,7 @@ def with_sequence(
     b = with_bucket(base, order_cols[0], quantile_edges(base, order_cols[0], k))
 
     aggs = [F.count(F.lit(1)).alias("_tf_cnt")]
+    aggs += [F.sum(c).alias(f"_tf_bsum_{i}") for i, c in enumerate(running_sums)]
     if first_cols:
         aggs.append(F.min_by(F.struct(*[F.col(c) for c in first_cols]), F.struct(*order_cols)).alias("_tf_fst"))
     stats = b.groupBy(GKEY, BUCKET).agg(*aggs)
@@ -103,6 +107,10 @@ def with_sequence(
         F.coalesce(F.sum("_tf_cnt").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(OFFSET),
         F.sum("_tf_cnt").over(Window.partitionBy(GKEY)).alias(count_col),
     ]
+    for i, c in enumerate(running_sums):
+        prev = F.sum(f"_tf_bsum_{i}").over(wg.rowsBetween(Window.unboundedPreceding, -1))
+        stat_cols.append(F.coalesce(prev, F.lit(0)).alias(f"_tf_boff_{i}"))
+        stat_cols.append(F.sum(f"_tf_bsum_{i}").over(Window.partitionBy(GKEY)).alias(f"total_{c}"))
     if first_cols:
         stat_cols.append(
             F.first("_tf_fst").over(wg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_tf_gfst")
@@ -112,6 +120,11 @@ def with_sequence(
     joined = b.join(stats, on=[GKEY, BUCKET], how="inner")
     w = Window.partitionBy(GKEY, BUCKET).orderBy(*_order_exprs(order_cols))
     out = joined.withColumn(seq_col, F.col(OFFSET) + F.row_number().over(w) - F.lit(1))
+    if running_sums:
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumns(
+            {f"cum_{c}": F.col(f"_tf_boff_{i}") + F.sum(c).over(upto) for i, c in enumerate(running_sums)}
+        ).drop(*[f"_tf_boff_{i}" for i in range(len(running_sums))])
     if first_cols:
         out = out.withColumns({f"{first_prefix}{c}": F.col(f"_tf_gfst.{c}") for c in first_cols}).drop("_tf_gfst")
     return out.drop(OFFSET, BUCKET)
