@@ -17,7 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def tape_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean tape: one trade per event, symbol = event type."""
-    ev = table(spark, sf_dir, "events")
+    return events_to_tape(table(spark, sf_dir, "events"))
+
+
+def events_to_tape(ev: DataFrame) -> DataFrame:
+    """The events -> trade tape projection (batch or streaming input)."""
     ts = epoch_ms(ev, "ts")
     qty = (F.col("user_id") % 7 + 1).cast("double")
     return ev.select(
@@ -35,7 +39,11 @@ def tape_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tape_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty tape: repeated trade ids, many time ties, 50 distinct quantities."""
-    li = table(spark, sf_dir, "lineitem")
+    return lineitem_to_tape(table(spark, sf_dir, "lineitem"))
+
+
+def lineitem_to_tape(li: DataFrame) -> DataFrame:
+    """The line items -> trade tape projection (batch or streaming input)."""
     ts = epoch_ms(li, "l_shipdate") + F.lit(LINEITEM_TIME_SHIFT_MS)
     return li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trade_id"),
