@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.operators.joins import attach
+from tickforge.operators.materialize import hold, small_result
 from tickforge.operators.sequence import drop_helpers, exact_quantiles, positional_slices, with_sequence
 
 # Bucket count, empty-bin share, thresholds and the p-value cut-off of the drift check.
@@ -54,6 +55,7 @@ def bin_index(value: Column, edges: Column, buckets: int = PSI_BUCKETS) -> Colum
 
 def histogram(samples: DataFrame, buckets: int = PSI_BUCKETS, edges: DataFrame | None = None, **seq_kw) -> DataFrame:
     """Counts per (feature, sample, bin) over the reference edges, all bins present."""
+    samples, release = hold(samples)
     edges = psi_edges(samples, buckets, **seq_kw) if edges is None else edges
     vals = samples.where(F.col(VALUE).isNotNull())
     binned = attach(vals, edges, [FEATURE], how="inner").withColumn("bin", bin_index(F.col(VALUE), F.col("edges"), buckets))
@@ -62,14 +64,17 @@ def histogram(samples: DataFrame, buckets: int = PSI_BUCKETS, edges: DataFrame |
         FEATURE,
         F.explode(F.array(F.lit("ref"), F.lit("cur"))).alias(SAMPLE),
     ).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return grid.join(counts, [FEATURE, SAMPLE, "bin"], "left").select(
+    out = small_result(grid.join(counts, [FEATURE, SAMPLE, "bin"], "left").select(
         FEATURE, SAMPLE, "bin", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("count")
-    )
+    ))
+    release()
+    return out
 
 
 def psi(samples: DataFrame, buckets: int = PSI_BUCKETS, **seq_kw) -> DataFrame:
     """``|sum((c - r) * ln(c / r))|`` over bins, shares of empty bins set to 1e-4 (no
     re-normalising); 0 when either sample is empty. Returns (feature, psi)."""
+    samples, release = hold(samples)
     sizes = samples.groupBy(FEATURE).agg(
         F.count_if(F.col(SAMPLE) == "ref").alias("n_ref"), F.count_if(F.col(SAMPLE) == "cur").alias("n_cur")
     )
@@ -90,10 +95,12 @@ def psi(samples: DataFrame, buckets: int = PSI_BUCKETS, **seq_kw) -> DataFrame:
         F.first("n_cur").alias("n_cur"),
     )
     full = sizes.join(out.drop("n_ref", "n_cur"), FEATURE, "left")
-    return full.select(
+    res = small_result(full.select(
         FEATURE,
         F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(0.0)).otherwise(F.col("psi")).alias("psi"),
-    )
+    ))
+    release()
+    return res
 
 
 def ks_statistic(samples: DataFrame, **seq_kw) -> DataFrame:
@@ -108,6 +115,7 @@ def ks_statistic(samples: DataFrame, **seq_kw) -> DataFrame:
             F.count_if(F.col(SAMPLE) == "cur").cast("double").alias("c_cur"),
         )
     )
+    dv, release = hold(dv)
     s = drop_helpers(with_sequence(dv, [VALUE], [FEATURE], running_sums=["c_ref", "c_cur"], **seq_kw))
     gap = F.abs(
         F.try_divide(F.col("cum_c_ref"), F.col("total_c_ref")) - F.try_divide(F.col("cum_c_cur"), F.col("total_c_cur"))
@@ -118,7 +126,9 @@ def ks_statistic(samples: DataFrame, **seq_kw) -> DataFrame:
         F.first("total_c_cur").cast("bigint").alias("n_cur"),
     )
     small = (F.col("n_ref") < 2) | (F.col("n_cur") < 2)
-    return d.withColumn("ks_stat", F.when(small, F.lit(0.0)).otherwise(F.coalesce(F.col("ks_stat"), F.lit(0.0))))
+    res = small_result(d.withColumn("ks_stat", F.when(small, F.lit(0.0)).otherwise(F.coalesce(F.col("ks_stat"), F.lit(0.0)))))
+    release()
+    return res
 
 
 def ks_pvalue_expr(d: Column, n: Column, m: Column) -> Column:
@@ -148,8 +158,10 @@ def drift_report(
 ) -> DataFrame:
     """T4 per feature: psi, ks_stat, ks_pval rounded to 4 digits, ``drifted`` when
     psi >= threshold or p < alpha (raw values). Features without current values are skipped."""
+    samples, release = hold(samples)
     p = psi(samples, **seq_kw)
     k = ks_test(samples, **seq_kw)
+    release()
     r = p.join(k, FEATURE).where(F.col("n_cur") > 0)
     return r.select(
         FEATURE,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,8 @@ TRAIN_LAGS = (1, 2, 3, 5, 10, 20)
 TRAIN_DROP_COLS = ("trade_id", "price", "timestamp", "ts_ms", "ts_sec", "is_buyer_maker", "is_best_match")
 EPS = 1e-9
 SIZE_BUCKETS = 10
+# Positional helper columns of ``trade_features`` that are not part of the published feature sets.
+POSITION_COLS = ("seq", "n_group", "min_timestamp")
 
 
 # --------------------------------------------------------------------------- row-local features
@@ -170,14 +172,9 @@ def trade_features(
     if size_bucket:
         df = with_size_bucket(df, group_cols, knots=size_knots, rows_per_bucket=rows_per_bucket)
 
-    s = with_sequence(
-        df,
-        order_cols,
-        group_cols,
-        first_cols=["timestamp", "price", "quantity"],
-        rows_per_bucket=rows_per_bucket,
-    )
-    s = time_features(s, ts_unit, first_ts_col="first_timestamp")
+    # The first timestamp in (timestamp, ...) order is the group minimum (NULLs sort last).
+    s = with_sequence(df, order_cols, group_cols, min_cols=["timestamp"], rows_per_bucket=rows_per_bucket)
+    s = time_features(s, ts_unit, first_ts_col="min_timestamp")
     s = size_features(s)
 
     lookback = max([*windows, *vwap_windows, *lag_steps, *[v + 1 for v in vol_windows], 1])
@@ -186,6 +183,10 @@ def trade_features(
 
     def stage1(w: WindowSpec) -> dict[str, Column]:
         out = _rolling_family(w, windows, ofi)
+        # Back-fill only reaches rows with seq < k <= lookback, which sit in block 0, whose first
+        # row is the group's first row.
+        head = w.rowsBetween(Window.unboundedPreceding, 0)
+        first_price, first_qty = F.first("price").over(head), F.first("quantity").over(head)
         prev = F.lag("price", 1).over(w)
         out["log_return_tick"] = F.when(seq == 0, F.lit(0.0)).otherwise(ln_pos(F.try_divide(F.col("price"), prev)))
         for k in lag_steps:
@@ -193,8 +194,8 @@ def trade_features(
             lq = F.lag("quantity", k).over(w)
             if lag_mode == "backfill":
                 short = n <= F.lit(k)
-                out[f"price_lag_{k}"] = F.when(seq >= k, lp).when(short, F.lit(0.0)).otherwise(F.col("first_price"))
-                out[f"qty_lag_{k}"] = F.when(seq >= k, lq).when(short, F.lit(0.0)).otherwise(F.col("first_quantity"))
+                out[f"price_lag_{k}"] = F.when(seq >= k, lp).when(short, F.lit(0.0)).otherwise(first_price)
+                out[f"qty_lag_{k}"] = F.when(seq >= k, lq).when(short, F.lit(0.0)).otherwise(first_qty)
                 out[f"return_lag_{k}"] = F.when(seq >= k, F.try_divide(F.col("price"), lp) - 1).otherwise(F.lit(0.0))
             elif lag_mode == "strict":
                 out[f"price_lag_{k}"] = lp
@@ -294,7 +295,7 @@ def gold_features(
         vol_windows=VOL_WINDOWS, lag_mode="backfill", ofi=True, ts_unit=ts_unit, **kw,
     )
     feats = [c for c in gold_feature_names(wins, lags) if c not in df.columns] + ["ts_ms", "ts_sec"]
-    return _warmup(out, feats, warmup)
+    return _warmup(out.drop(*POSITION_COLS), feats, warmup)
 
 
 def train_features(
@@ -313,7 +314,7 @@ def train_features(
         df, group_cols=group_cols, order_cols=order_cols, windows=windows, lag_steps=lag_steps,
         vol_windows=(), lag_mode="strict", ofi=False, vwap_windows=(20,), ts_unit=ts_unit, **kw,
     )
-    out = out.drop("log_return_tick", "sq_return")
+    out = out.drop("log_return_tick", "sq_return", *POSITION_COLS)
     return _warmup(out, train_feature_names(windows, lag_steps), warmup)
 
 

@@ -8,7 +8,7 @@ table) under a total order:
 2. rows are counted per (group, bucket) -- a partial aggregate, a hot group is pre-reduced
    on every mapper;
 3. the small count table is turned into running offsets per group (and the group size and
-   first row are attached to it);
+   requested group minima are attached to it);
 4. rows are numbered inside their bucket; ``seq = offset + row_number - 1``.
 
 The join of step 3 and the numbering of step 4 share one hash exchange on (group, bucket).
@@ -78,14 +78,13 @@ def with_sequence(
     *,
     seq_col: str = "seq",
     count_col: str = "n_group",
-    first_cols: Sequence[str] = (),
-    first_prefix: str = "first_",
+    min_cols: Sequence[str] = (),
     running_sums: Sequence[str] = (),
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     n_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``seq`` (0-based position in group), ``count_col`` (group size) and the group's
-    first-row values ``first_<c>`` for ``c`` in ``first_cols``. For ``c`` in ``running_sums``
+    """Add ``seq`` (0-based position in group), ``count_col`` (group size) and the group minimum
+    ``min_<c>`` for ``c`` in ``min_cols`` (e.g. the first timestamp). For ``c`` in ``running_sums``
     also ``cum_<c>`` (inclusive running sum in order) and ``total_<c>`` (group sum), carried by
     the same bucket offsets and the same exchange. Keeps the helper group key column
     ``_tf_group`` (dropped by :func:`drop_helpers`)."""
@@ -97,8 +96,7 @@ def with_sequence(
 
     aggs = [F.count(F.lit(1)).alias("_tf_cnt")]
     aggs += [F.sum(c).alias(f"_tf_bsum_{i}") for i, c in enumerate(running_sums)]
-    if first_cols:
-        aggs.append(F.min_by(F.struct(*[F.col(c) for c in first_cols]), F.struct(*order_cols)).alias("_tf_fst"))
+    aggs += [F.min(c).alias(f"_tf_bmin_{i}") for i, c in enumerate(min_cols)]
     stats = b.groupBy(GKEY, BUCKET).agg(*aggs)
     wg = Window.partitionBy(GKEY).orderBy(BUCKET)
     stat_cols = [
@@ -111,10 +109,8 @@ def with_sequence(
         prev = F.sum(f"_tf_bsum_{i}").over(wg.rowsBetween(Window.unboundedPreceding, -1))
         stat_cols.append(F.coalesce(prev, F.lit(0)).alias(f"_tf_boff_{i}"))
         stat_cols.append(F.sum(f"_tf_bsum_{i}").over(Window.partitionBy(GKEY)).alias(f"total_{c}"))
-    if first_cols:
-        stat_cols.append(
-            F.first("_tf_fst").over(wg.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_tf_gfst")
-        )
+    for i, c in enumerate(min_cols):
+        stat_cols.append(F.min(f"_tf_bmin_{i}").over(Window.partitionBy(GKEY)).alias(f"min_{c}"))
     stats = stats.select(*stat_cols)
 
     joined = b.join(stats, on=[GKEY, BUCKET], how="inner")
@@ -125,8 +121,6 @@ def with_sequence(
         out = out.withColumns(
             {f"cum_{c}": F.col(f"_tf_boff_{i}") + F.sum(c).over(upto) for i, c in enumerate(running_sums)}
         ).drop(*[f"_tf_boff_{i}" for i in range(len(running_sums))])
-    if first_cols:
-        out = out.withColumns({f"{first_prefix}{c}": F.col(f"_tf_gfst.{c}") for c in first_cols}).drop("_tf_gfst")
     return out.drop(OFFSET, BUCKET)
 
 
@@ -228,30 +222,48 @@ def exact_quantiles(
     group_cols: Sequence[str] = (),
     *,
     out_col: str = "edges",
+    max_broadcast_rows: int = 2_000_000,
     **seq_kw,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy ``linear`` / SQL ``quantile_cont``) per group.
 
-    Distributed order statistics: rank the non-null values with :func:`with_sequence`, keep only
-    the rows at ranks ``floor/ceil((n-1)p)`` (at most ``2*len(probs)`` per group) and interpolate.
-    Returns ``group_cols + [out_col array<double>, n_values]``.
-    """
+    Distributed order statistics: rank the non-null values with :func:`with_sequence`; build the
+    small table of wanted ranks ``floor/ceil((n-1)p)`` per group (at most ``2*len(probs)`` rows per
+    group) and equi-join it to the ranked rows on (group, rank) -- keys are unique, so no skew;
+    interpolate per (group, p) and gather the edges in ``p`` order.
+    Returns ``group_cols + [out_col array<double>, n_values]``."""
+    from tickforge.operators.materialize import hold, small_result
+
     group_cols = list(group_cols)
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_tf_v")).where(F.col("_tf_v").isNotNull())
-    s = with_sequence(vals, ["_tf_v"], group_cols, count_col="_tf_n", **seq_kw)
-    n1 = (F.col("_tf_n") - 1).cast("double")
-    lo = [F.floor(n1 * F.lit(float(p))) for p in probs]
-    hi = [F.ceil(n1 * F.lit(float(p))) for p in probs]
-    wanted = F.array(*lo, *hi)
-    picked = s.where(F.array_contains(wanted, F.col("seq"))).select(GKEY, *group_cols, "seq", "_tf_v", "_tf_n")
-    aggs = [F.first("_tf_n").alias("_tf_n")]
-    for i, p in enumerate(probs):
-        aggs.append(F.max(F.when(F.col("seq") == lo[i], F.col("_tf_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(F.col("seq") == hi[i], F.col("_tf_v"))).alias(f"_hi{i}"))
-    per_group = picked.groupBy(GKEY, *group_cols).agg(*aggs)
-    edges = []
-    for i, p in enumerate(probs):
-        h = (F.col("_tf_n") - 1).cast("double") * F.lit(float(p))
-        frac = h - F.floor(h)
-        edges.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * frac)
-    return per_group.select(*group_cols, F.array(*edges).alias(out_col), F.col("_tf_n").alias("n_values"))
+    s, release = hold(with_sequence(vals, ["_tf_v"], group_cols, count_col="_tf_n", **seq_kw).select(
+        GKEY, *group_cols, "_tf_v", "seq", "_tf_n"))
+    sizes = s.select(GKEY, *group_cols, "_tf_n").where(F.col("seq") == 0)
+    plist = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    h = (F.col("_tf_n") - 1).cast("double") * F.col("_q.p")
+    wanted = (
+        sizes.withColumn("_q", F.explode(plist))
+        .select(GKEY, *group_cols, "_tf_n", F.col("_q.i").alias("i"), F.floor(h).alias("lo"), F.ceil(h).alias("hi"),
+                (h - F.floor(h)).alias("frac"))
+    )
+    # (group, rank, quantile index, role): at most 2 * len(probs) rows per group.
+    ranks = wanted.select(
+        GKEY, "i", F.explode(F.array(F.struct(F.col("lo").alias("seq"), F.lit(0).alias("role")),
+                                     F.struct(F.col("hi").alias("seq"), F.lit(1).alias("role")))).alias("_r")
+    ).select(GKEY, "i", "_r.seq", "_r.role")
+    n_groups = sizes.count()
+    if n_groups * 2 * len(probs) <= max_broadcast_rows:
+        ranks = F.broadcast(ranks)
+    e = s.select(GKEY, "seq", "_tf_v").join(ranks, [GKEY, "seq"])
+    pairs = e.groupBy(GKEY, "i").agg(
+        F.max(F.when(F.col("role") == 0, F.col("_tf_v"))).alias("_lo_v"),
+        F.max(F.when(F.col("role") == 1, F.col("_tf_v"))).alias("_hi_v"),
+    )
+    q = wanted.join(pairs, [GKEY, "i"])
+    q = q.withColumn("_e", F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * F.col("frac"))
+    per_group = q.groupBy(GKEY, *group_cols).agg(
+        F.first("_tf_n").alias("n_values"), F.array_sort(F.collect_list(F.struct("i", "_e"))).alias("_es")
+    )
+    out = small_result(per_group.select(*group_cols, F.col("_es._e").alias(out_col), "n_values"))
+    release()
+    return out
