@@ -355,7 +355,7 @@ SELECT e.trade_id AS request_id, tail.trade_id IS NULL AS fallback,
        coalesce(tail.trade_id, (SELECT trade_id FROM latest)) AS trade_id,
        coalesce(tail.price, (SELECT price FROM latest)) AS price,
        coalesce(tail.quantity, (SELECT quantity FROM latest)) AS quantity,
-       0.0 AS missing_feature
+       CAST(0.0 AS DOUBLE) AS missing_feature
 FROM e LEFT JOIN tail ON e.trade_id = tail.trade_id""",
 )
 def q_online_lookup_fallback(spark, sf):

@@ -179,8 +179,8 @@ SELECT trade_id, "timestamp", l_partkey, l_suppkey,
        round(ln(1 + quote_quantity), 6) AS log_quote_quantity,
        CAST(is_buyer_maker AS BIGINT) AS buyer_maker_int,
        round(quote_quantity / (quantity + 1e-9), 6) AS implied_price,
-       CASE WHEN is_buyer_maker THEN -1.0 ELSE 1.0 END AS tick_direction,
-       CASE WHEN is_buyer_maker THEN -1.0 ELSE 1.0 END * quantity AS signed_volume
+       CAST(CASE WHEN is_buyer_maker THEN -1.0 ELSE 1.0 END AS DOUBLE) AS tick_direction,
+       CAST(CASE WHEN is_buyer_maker THEN -1.0 ELSE 1.0 END AS DOUBLE) * quantity AS signed_volume
 FROM l""",
 )
 def q_size_features(spark, sf):
