@@ -21,6 +21,7 @@ from tickforge.operators.sequence import (
     drop_helpers,
     exact_quantiles,
     ordered_windows,
+    plan_buckets,
     rows_frame,
     with_sequence,
 )
@@ -173,7 +174,9 @@ def trade_features(
         df = with_size_bucket(df, group_cols, knots=size_knots, rows_per_bucket=rows_per_bucket)
 
     # The first timestamp in (timestamp, ...) order is the group minimum (NULLs sort last).
-    s = with_sequence(df, order_cols, group_cols, min_cols=["timestamp"], rows_per_bucket=rows_per_bucket)
+    plan = plan_buckets(df, order_cols[0], rows_per_bucket)
+    n_rows = plan.n
+    s = with_sequence(df, order_cols, group_cols, min_cols=["timestamp"], plan=plan)
     s = time_features(s, ts_unit, first_ts_col="min_timestamp")
     s = size_features(s)
 
@@ -221,7 +224,7 @@ def trade_features(
         return {f"realized_volatility_{v}": F.sqrt(F.sum("sq_return").over(rows_frame(w, v))) for v in vol_windows}
 
     stages = [stage1, stage2] + ([stage3] if vol_windows else [])
-    out = ordered_windows(s, stages, lookback=lookback, lookahead=lookahead, block_rows=block_rows)
+    out = ordered_windows(s, stages, lookback=lookback, lookahead=lookahead, block_rows=block_rows, n_rows=n_rows)
     if derived:
         out = derived_features(out, vwap_windows)
     return drop_helpers(out)

@@ -28,4 +28,7 @@ def hold(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
 def small_result(df: DataFrame) -> DataFrame:
     """Evaluate and checkpoint a small table (reliable storage, lineage cut)."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)  # the checkpoint write reuses the computed blocks
+    out = held.checkpoint(eager=True)
+    held.unpersist(blocking=False)
+    return out

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -35,6 +36,7 @@ BLOCK = "_tf_block"
 OWN = "_tf_own"
 
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
+MIN_ROWS_PER_BUCKET = 4_096
 DEFAULT_BLOCK_ROWS = 65_536
 MAX_BUCKETS = 200_000
 
@@ -61,6 +63,37 @@ def quantile_edges(df: DataFrame, col: str, n_buckets: int) -> list[float]:
     return sorted({float(v) for v in (vals or []) if v is not None and not math.isnan(v)})
 
 
+@dataclass(frozen=True)
+class BucketPlan:
+    """Row count of the input and the bucket edges of its leading order column."""
+
+    n: int
+    edges: tuple[float, ...]
+
+
+def plan_buckets(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> BucketPlan:
+    """One small job: count and range of ``key``. When the size bound needs several buckets the
+    edges are approximate quantiles (a second job; bursts in time are split); when only the
+    parallelism floor asks for buckets, equal-width edges over the range are enough."""
+    row = df.agg(F.count(F.lit(1)), F.min(F.col(key).cast("double")), F.max(F.col(key).cast("double"))).first()
+    n, lo, hi = int(row[0]), row[1], row[2]
+    k = bucket_count(df.sparkSession, n, rows_per_bucket)
+    if k <= 1 or lo is None or hi is None or hi <= lo:
+        return BucketPlan(n, ())
+    if math.ceil(n / max(1, rows_per_bucket)) > 1:
+        return BucketPlan(n, tuple(quantile_edges(df, key, k)))
+    return BucketPlan(n, tuple(lo + (hi - lo) * i / k for i in range(1, k)))
+
+
+def bucket_count(spark, n: int, rows_per_bucket: int) -> int:
+    """Enough buckets to keep each under ``rows_per_bucket`` rows, and (for inputs of more than a
+    few thousand rows) at least two per core so numbering never runs in a single task."""
+    by_size = math.ceil(n / max(1, rows_per_bucket))
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    by_cores = min(2 * cores, n // MIN_ROWS_PER_BUCKET)
+    return min(MAX_BUCKETS, max(1, by_size, by_cores))
+
+
 def with_bucket(df: DataFrame, key: str, edges: list[float]) -> DataFrame:
     if not edges:
         return df.withColumn(BUCKET, F.lit(0))
@@ -81,7 +114,7 @@ def with_sequence(
     min_cols: Sequence[str] = (),
     running_sums: Sequence[str] = (),
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-    n_rows: int | None = None,
+    plan: BucketPlan | None = None,
 ) -> DataFrame:
     """Add ``seq`` (0-based position in group), ``count_col`` (group size) and the group minimum
     ``min_<c>`` for ``c`` in ``min_cols`` (e.g. the first timestamp). For ``c`` in ``running_sums``
@@ -90,9 +123,8 @@ def with_sequence(
     ``_tf_group`` (dropped by :func:`drop_helpers`)."""
     order_cols, group_cols = list(order_cols), list(group_cols)
     base = df.withColumn(GKEY, group_key(group_cols))
-    n = base.count() if n_rows is None else n_rows
-    k = min(MAX_BUCKETS, max(1, math.ceil(n / max(1, rows_per_bucket))))
-    b = with_bucket(base, order_cols[0], quantile_edges(base, order_cols[0], k))
+    plan = plan or plan_buckets(df, order_cols[0], rows_per_bucket)
+    b = with_bucket(base, order_cols[0], list(plan.edges))
 
     aggs = [F.count(F.lit(1)).alias("_tf_cnt")]
     aggs += [F.sum(c).alias(f"_tf_bsum_{i}") for i, c in enumerate(running_sums)]
@@ -135,16 +167,19 @@ def ordered_windows(
     lookback: int = 0,
     lookahead: int = 0,
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Evaluate window stages over ``Window.partitionBy(group, block).orderBy(seq)``.
 
     ``lookback`` must be at least the longest look-back of any frame or lag (a ``w``-row frame
     looks back ``w-1`` rows), ``lookahead`` the longest lead. Each stage maps the window spec
-    to new named columns; later stages may use columns of earlier ones.
+    to new named columns; later stages may use columns of earlier ones. With ``n_rows`` the
+    block size shrinks (never below four halos) until there are about two blocks per core, so
+    small inputs are spread as well; ``block_rows`` caps it for large ones.
     """
     if GKEY not in df_seq.columns:
         raise ValueError("ordered_windows expects the output of with_sequence")
-    size = max(int(block_rows), int(lookback), int(lookahead), 1)
+    size = block_size(df_seq.sparkSession, n_rows, block_rows, max(lookback, lookahead))
     blk = F.floor(F.col(seq_col) / F.lit(size)).cast("bigint")
     pos = F.col(seq_col) - blk * F.lit(size)
     targets = [blk]
@@ -157,12 +192,25 @@ def ordered_windows(
     else:
         x = df_seq.withColumn(BLOCK, F.explode(F.filter(F.array(*targets), lambda t: t.isNotNull())))
         x = x.withColumn(OWN, F.col(BLOCK) == blk)
+    # One exchange on (group, block): explicit so that it also happens when the numbering stage
+    # was hash-partitioned on the group alone (single bucket), which would otherwise be reused.
+    x = x.repartition(GKEY, BLOCK)
     w = Window.partitionBy(GKEY, BLOCK).orderBy(seq_col)
     for stage in stages:
         x = x.withColumns(stage(w))
     return x.where(F.col(OWN)).drop(BLOCK, OWN)
 
 
+def block_size(spark, n_rows: int | None, block_rows: int, halo: int) -> int:
+    """Rows per block: at most ``block_rows``; with a known row count about two blocks per core;
+    never below four halos (halo copies stay a small share of the rows)."""
+    size = int(block_rows)
+    if n_rows is not None:
+        cores = max(1, spark.sparkContext.defaultParallelism)
+        size = min(size, math.ceil(max(1, n_rows) / (2 * cores)))
+    return max(size, 4 * int(halo), 1)
+
+
 def drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop(GKEY, BUCKET, OFFSET, BLOCK, OWN)
 
