@@ -367,3 +367,12 @@ def q_online_lookup_fallback(spark, sf):
     got = online.lookup(req, kv, schema, as_of_ms=as_of).select("request_id", "fallback", "vector.*")
     aligned = online.align_columns(got, ["price", "quantity", "missing_feature"], keep=["request_id", "fallback", "trade_id"])
     return aligned
+
+
+@register(
+    "first_rows_sample",
+    "O5 O1",
+    with_tapes(E_TAPE) + '\nSELECT trade_id, "timestamp", price FROM e ORDER BY "timestamp", trade_id LIMIT 20',
+)
+def q_first_rows_sample(spark, sf):
+    return online.first_rows(tape_events(spark, sf), 20).select("trade_id", "timestamp", "price")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickforge.plans.q_bars import _bar_sql
 from tickforge.plans.q_features import GOLD_SUBSET, _gold_sql
 from tickforge.plans.registry import register
-from tickforge.plans.rounding import fround
+from tickforge.plans.rounding import fround, sql_fround
 from tickforge.plans.sql_tapes import E_TAPE, L_TAPE, with_tapes
 from tickforge.sources.tapes import events_to_tape, lineitem_to_tape
 from tickforge.streaming import streams
@@ -56,3 +56,31 @@ def q_stream_gold(spark, sf):
     tape = events_to_tape(streams.read_table_stream(spark, sf, "events"))
     g = streams.stream_gold_table(spark, tape)
     return g.select("trade_id", *[fround(c, d).alias(c) if d else F.col(c) for c, d in GOLD_SUBSET])
+
+
+@register(
+    "stream_rolling_features",
+    "U4 W1 W2 W7",
+    with_tapes(E_TAPE)
+    + """
+, r AS (SELECT *, CASE WHEN row_number() OVER wo = 1 THEN 0.0 ELSE ln(price / lag(price) OVER wo) END AS lr
+        FROM e WINDOW wo AS (PARTITION BY symbol ORDER BY "timestamp", trade_id))
+SELECT trade_id, symbol,
+       """
+    + sql_fround('avg(price) OVER (PARTITION BY symbol ORDER BY "timestamp", trade_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)')
+    + """ AS price_roll_mean_20,
+       """
+    + sql_fround('coalesce(stddev_samp(price) OVER (PARTITION BY symbol ORDER BY "timestamp", trade_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0.0)')
+    + """ AS price_roll_std_20,
+       """
+    + sql_fround('sqrt(sum(lr * lr) OVER (PARTITION BY symbol ORDER BY "timestamp", trade_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))')
+    + """ AS realized_volatility_10
+FROM r""",
+)
+def q_stream_rolling_features(spark, sf):
+    tape = events_to_tape(streams.read_table_stream(spark, sf, "events"))
+    f = streams.stream_rolling_features(spark, tape, windows=(5, 10, 20), lag_steps=(1,), vol_windows=(10,),
+                                        derived=False, size_bucket=False)
+    return f.select("trade_id", "symbol", fround("price_roll_mean_20").alias("price_roll_mean_20"),
+                    fround("price_roll_std_20").alias("price_roll_std_20"),
+                    fround("realized_volatility_10").alias("realized_volatility_10"))

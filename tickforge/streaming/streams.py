@@ -191,27 +191,46 @@ def stream_ohlcv_table(spark: SparkSession, bars_stream: DataFrame, root: str |
 
 def rolling_features_upsert(
     batch: DataFrame,
-    state_root: str,
-    out_root: str,
+    epoch_id: int,
+    root: str,
     *,
     group_cols: Sequence[str] = ("symbol",),
     order_cols: Sequence[str] = DEFAULT_ORDER,
     keep_rows: int = 101,
     **feature_kw,
 ) -> None:
-    """U4: featurise a micro-batch together with the last ``keep_rows`` rows per group seen so
-    far (a side table); only the batch's own rows are emitted, the side table is refreshed.
-    ``keep_rows`` must cover the longest look-back. Group-relative features (elapsed time, lag
-    back-fill, size buckets) are relative to the carried window, not to the stream start."""
+    """U4: featurise a micro-batch together with the last ``keep_rows`` rows per group seen before
+    it (a side table); only the batch's own rows are emitted. Row-frame windows are not allowed
+    on streams, so this runs inside ``foreachBatch``.
+
+    Replay-safe: the side table is versioned by epoch (batch ``e`` reads version ``e-1`` and
+    writes version ``e``) and features are written to ``features/epoch=e`` with dynamic
+    overwrite, so re-running a batch after a failure gives the same files. ``keep_rows`` must
+    cover the longest look-back; group-relative features (elapsed time, lag back-fill, size
+    buckets) are relative to the carried window, not to the start of the stream."""
     from tickforge.operators.sequence import drop_helpers, with_sequence
 
     spark = batch.sparkSession
     fresh = batch.withColumn("_tf_new", F.lit(True))
-    if _table_exists(spark, state_root):
-        carried = spark.read.parquet(state_root).withColumn("_tf_new", F.lit(False))
+    prev = f"{root}/state/epoch={epoch_id - 1}"
+    if _table_exists(spark, prev):
+        carried = spark.read.parquet(prev).withColumn("_tf_new", F.lit(False))
         fresh = carried.unionByName(fresh.select(*carried.columns))
+    fresh = fresh.checkpoint(eager=True)
     feats = feat.trade_features(fresh, group_cols=group_cols, order_cols=order_cols, **feature_kw)
-    feats.where("_tf_new").drop("_tf_new").write.mode("append").parquet(out_root)
+    (
+        feats.where("_tf_new").drop("_tf_new").withColumn("epoch", F.lit(int(epoch_id)))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
+        .parquet(f"{root}/features")
+    )
     tail = drop_helpers(with_sequence(fresh, order_cols, group_cols))
     keep = tail.where(F.col("seq") >= F.col("n_group") - keep_rows).drop("seq", "n_group", "_tf_new")
-    keep.checkpoint(eager=True).write.mode("overwrite").parquet(state_root)
+    keep.write.mode("overwrite").parquet(f"{root}/state/epoch={epoch_id}")
+
+
+def stream_rolling_features(spark: SparkSession, stream_tape: DataFrame, root: str | None = None, **kw) -> DataFrame:
+    """U4 driver: rolling features over a stream, micro-batch by micro-batch."""
+    root = root or scratch_dir(spark, "stream-rolling")
+    run_available_now(stream_tape, lambda b, eid: rolling_features_upsert(b, eid, root, **kw),
+                      scratch_dir(spark, "ckpt-rolling"))
+    return spark.read.parquet(f"{root}/features")
