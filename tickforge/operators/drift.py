@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickforge.operators.joins import attach
 from tickforge.operators.materialize import hold, small_result
-from tickforge.operators.sequence import drop_helpers, exact_quantiles, positional_slices, with_sequence
+from tickforge.operators.sequence import drop_helpers, positional_slices, with_sequence
 
 # Bucket count, empty-bin share, thresholds and the p-value cut-off of the drift check.
 PSI_BUCKETS = 10
@@ -39,11 +39,50 @@ def long_samples(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> Dat
     )
 
 
-def psi_edges(samples: DataFrame, buckets: int = PSI_BUCKETS, **seq_kw) -> DataFrame:
-    """``buckets + 1`` exact linear-interpolation percentiles of the reference, per feature."""
+def _value_counts(samples: DataFrame) -> DataFrame:
+    """Counts per (feature, distinct value): a partial aggregate."""
+    return (
+        samples.where(F.col(VALUE).isNotNull())
+        .groupBy(FEATURE, VALUE)
+        .agg(
+            F.count_if(F.col(SAMPLE) == "ref").cast("double").alias("c_ref"),
+            F.count_if(F.col(SAMPLE) == "cur").cast("double").alias("c_cur"),
+        )
+    )
+
+
+def _ranked_values(dv: DataFrame, **seq_kw) -> DataFrame:
+    """Value counts ranked in value order with running reference/current counts: ``cum_c_ref``,
+    ``cum_c_cur``, ``total_c_ref``, ``total_c_cur``. Everything the drift statistics need
+    comes from this one positional pass."""
+    return drop_helpers(with_sequence(dv, [VALUE], [FEATURE], running_sums=["c_ref", "c_cur"], **seq_kw))
+
+
+def _edges_from_ranked(ranked: DataFrame, buckets: int) -> DataFrame:
+    """A7 from the ranked table: a distinct value covers reference ranks
+    [cum_c_ref - c_ref, cum_c_ref - 1]; each row emits the wanted ranks floor/ceil((n-1)p) it
+    covers (at most 2 * (buckets + 1) per feature in total), which are interpolated per p."""
     probs = [i / buckets for i in range(buckets + 1)]
-    ref = samples.where(F.col(SAMPLE) == "ref")
-    return exact_quantiles(ref, VALUE, probs, [FEATURE], out_col="edges", **seq_kw).drop("n_values")
+    n1 = F.col("total_c_ref") - 1
+    wanted = F.array(
+        *[F.struct(F.lit(i).alias("i"), F.lit(role).alias("role"),
+                   (F.floor(n1 * F.lit(p)) if role == 0 else F.ceil(n1 * F.lit(p))).alias("rank"),
+                   (n1 * F.lit(p) - F.floor(n1 * F.lit(p))).alias("frac"))
+          for i, p in enumerate(probs) for role in (0, 1)]
+    )
+    start, end = F.col("cum_c_ref") - F.col("c_ref"), F.col("cum_c_ref") - 1
+    hits = ranked.where((F.col("c_ref") > 0) & (F.col("total_c_ref") > 0)).select(
+        FEATURE, VALUE, F.explode(F.filter(wanted, lambda x: (x["rank"] >= start) & (x["rank"] <= end))).alias("_w")
+    )
+    per_p = hits.groupBy(FEATURE, F.col("_w.i").alias("i")).agg(
+        F.max(F.when(F.col("_w.role") == 0, F.col(VALUE))).alias("_lo"),
+        F.max(F.when(F.col("_w.role") == 1, F.col(VALUE))).alias("_hi"),
+        F.max("_w.frac").alias("_frac"),
+    )
+    edge = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
+    return per_p.groupBy(FEATURE).agg(F.array_sort(F.collect_list(F.struct("i", edge.alias("e")))).alias("_es")).select(
+        FEATURE, F.col("_es.e").alias("edges")
+    )
 
 
 def bin_index(value: Column, edges: Column, buckets: int = PSI_BUCKETS) -> Column:
@@ -53,82 +92,77 @@ def bin_index(value: Column, edges: Column, buckets: int = PSI_BUCKETS) -> Colum
     return F.aggregate(inner, F.lit(0), lambda acc, e: acc + F.when(value >= e, 1).otherwise(0))
 
 
-def histogram(samples: DataFrame, buckets: int = PSI_BUCKETS, edges: DataFrame | None = None, **seq_kw) -> DataFrame:
-    """Counts per (feature, sample, bin) over the reference edges, all bins present."""
-    samples, release = hold(samples)
-    edges = psi_edges(samples, buckets, **seq_kw) if edges is None else edges
-    vals = samples.where(F.col(VALUE).isNotNull())
-    binned = attach(vals, edges, [FEATURE], how="inner").withColumn("bin", bin_index(F.col(VALUE), F.col("edges"), buckets))
-    counts = binned.groupBy(FEATURE, SAMPLE, "bin").agg(F.count(F.lit(1)).alias("n"))
-    grid = edges.select(
-        FEATURE,
-        F.explode(F.array(F.lit("ref"), F.lit("cur"))).alias(SAMPLE),
-    ).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    out = small_result(grid.join(counts, [FEATURE, SAMPLE, "bin"], "left").select(
-        FEATURE, SAMPLE, "bin", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("count")
-    ))
-    release()
-    return out
-
-
-def psi(samples: DataFrame, buckets: int = PSI_BUCKETS, **seq_kw) -> DataFrame:
-    """``|sum((c - r) * ln(c / r))|`` over bins, shares of empty bins set to 1e-4 (no
-    re-normalising); 0 when either sample is empty. Returns (feature, psi)."""
-    samples, release = hold(samples)
-    sizes = samples.groupBy(FEATURE).agg(
-        F.count_if(F.col(SAMPLE) == "ref").alias("n_ref"), F.count_if(F.col(SAMPLE) == "cur").alias("n_cur")
+def drift_statistics(samples: DataFrame, buckets: int = PSI_BUCKETS, **seq_kw) -> tuple[DataFrame, DataFrame]:
+    """One positional pass for A7, A8, T1 and T2. Returns two small checkpointed tables:
+    per (feature, sample, bin) counts (all bins present) and per feature
+    (psi, ks_stat, n_ref, n_cur)."""
+    dv, release_dv = hold(_value_counts(samples))  # read by the bucket plan and both numbering branches
+    ranked, release = hold(_ranked_values(dv, **seq_kw))
+    edges = small_result(_edges_from_ranked(ranked, buckets))  # materialises ``ranked``
+    release_dv()
+    binned = attach(ranked, edges, [FEATURE], how="left")
+    gap = F.abs(
+        F.try_divide(F.col("cum_c_ref"), F.col("total_c_ref")) - F.try_divide(F.col("cum_c_cur"), F.col("total_c_cur"))
     )
-    h = histogram(samples, buckets, **seq_kw)
-    wide = h.groupBy(FEATURE, "bin").agg(
-        F.sum(F.when(F.col(SAMPLE) == "ref", F.col("count"))).alias("c_ref"),
-        F.sum(F.when(F.col(SAMPLE) == "cur", F.col("count"))).alias("c_cur"),
+    per_bin = binned.groupBy(FEATURE, F.coalesce(bin_index(F.col(VALUE), F.col("edges"), buckets), F.lit(-1)).alias("bin")).agg(
+        F.sum("c_ref").alias("c_ref"),
+        F.sum("c_cur").alias("c_cur"),
+        F.max(gap).alias("gap"),
+        F.first("total_c_ref").alias("n_ref"),
+        F.first("total_c_cur").alias("n_cur"),
     )
-    w = wide.join(sizes, FEATURE)
+    per_bin = small_result(per_bin)
+    release()
+    sizes = per_bin.groupBy(FEATURE).agg(
+        F.max("n_ref").cast("bigint").alias("n_ref"), F.max("n_cur").cast("bigint").alias("n_cur"),
+        F.max("gap").alias("ks_stat"),
+    )
+    grid = (
+        edges.select(FEATURE)
+        .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+        .join(per_bin.where(F.col("bin") >= 0).select(FEATURE, "bin", "c_ref", "c_cur"), [FEATURE, "bin"], "left")
+        .join(sizes, FEATURE)
+        .select(FEATURE, "bin", F.coalesce("c_ref", F.lit(0.0)).alias("c_ref"), F.coalesce("c_cur", F.lit(0.0)).alias("c_cur"),
+                "n_ref", "n_cur")
+    )
+    hist = grid.select(
+        FEATURE, F.explode(F.array(
+            F.struct(F.lit("ref").alias(SAMPLE), F.col("c_ref").alias("c")),
+            F.struct(F.lit("cur").alias(SAMPLE), F.col("c_cur").alias("c")),
+        )).alias("_h"), "bin",
+    ).select(FEATURE, F.col("_h.sample").alias(SAMPLE), "bin", F.col("_h.c").cast("bigint").alias("count"))
 
     def share(c: str, n: str) -> Column:
         return F.when(F.col(c) == 0, F.lit(EMPTY_SHARE)).otherwise(F.col(c) / F.col(n))
 
-    terms = w.withColumns({"r": share("c_ref", "n_ref"), "c": share("c_cur", "n_cur")})
-    out = terms.groupBy(FEATURE).agg(
-        F.abs(F.sum((F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r")))).alias("psi"),
-        F.first("n_ref").alias("n_ref"),
-        F.first("n_cur").alias("n_cur"),
-    )
-    full = sizes.join(out.drop("n_ref", "n_cur"), FEATURE, "left")
-    res = small_result(full.select(
+    terms = grid.withColumns({"r": share("c_ref", "n_ref"), "c": share("c_cur", "n_cur")})
+    psi_raw = terms.groupBy(FEATURE).agg(F.abs(F.sum((F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r")))).alias("psi"))
+    small = (F.col("n_ref") < 2) | (F.col("n_cur") < 2)
+    stats = sizes.join(psi_raw, FEATURE, "left").select(
         FEATURE,
-        F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(0.0)).otherwise(F.col("psi")).alias("psi"),
-    ))
-    release()
-    return res
+        F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0) | F.col("psi").isNull(), F.lit(0.0)).otherwise(F.col("psi")).alias("psi"),
+        F.when(small, F.lit(0.0)).otherwise(F.coalesce(F.col("ks_stat"), F.lit(0.0))).alias("ks_stat"),
+        "n_ref",
+        "n_cur",
+    )
+    return hist, stats
+
+
+def histogram(samples: DataFrame, buckets: int = PSI_BUCKETS, **seq_kw) -> DataFrame:
+    """Counts per (feature, sample, bin) over the reference's percentile edges, all bins present."""
+    return drift_statistics(samples, buckets, **seq_kw)[0]
+
+
+def psi(samples: DataFrame, buckets: int = PSI_BUCKETS, **seq_kw) -> DataFrame:
+    """``|sum((c - r) * ln(c / r))|`` over bins, shares of empty bins set to 1e-4 (no
+    re-normalising); 0 when either sample is empty. Returns (feature, psi)."""
+    return drift_statistics(samples, buckets, **seq_kw)[1].select(FEATURE, "psi")
 
 
 def ks_statistic(samples: DataFrame, **seq_kw) -> DataFrame:
-    """Two-sample KS distance per feature. Counts per distinct value (partial aggregate),
-    running sums in value order from the positional engine, max |F_ref - F_cur|.
-    Returns (feature, ks_stat, n_ref, n_cur); fewer than 2 values in a sample -> 0."""
-    dv = (
-        samples.where(F.col(VALUE).isNotNull())
-        .groupBy(FEATURE, VALUE)
-        .agg(
-            F.count_if(F.col(SAMPLE) == "ref").cast("double").alias("c_ref"),
-            F.count_if(F.col(SAMPLE) == "cur").cast("double").alias("c_cur"),
-        )
-    )
-    dv, release = hold(dv)
-    s = drop_helpers(with_sequence(dv, [VALUE], [FEATURE], running_sums=["c_ref", "c_cur"], **seq_kw))
-    gap = F.abs(
-        F.try_divide(F.col("cum_c_ref"), F.col("total_c_ref")) - F.try_divide(F.col("cum_c_cur"), F.col("total_c_cur"))
-    )
-    d = s.groupBy(FEATURE).agg(
-        F.max(gap).alias("ks_stat"),
-        F.first("total_c_ref").cast("bigint").alias("n_ref"),
-        F.first("total_c_cur").cast("bigint").alias("n_cur"),
-    )
-    small = (F.col("n_ref") < 2) | (F.col("n_cur") < 2)
-    res = small_result(d.withColumn("ks_stat", F.when(small, F.lit(0.0)).otherwise(F.coalesce(F.col("ks_stat"), F.lit(0.0)))))
-    release()
-    return res
+    """Two-sample KS distance per feature: max |F_ref - F_cur| over distinct values, from the
+    running counts. Returns (feature, ks_stat, n_ref, n_cur); fewer than 2 values -> 0."""
+    return drift_statistics(samples, **seq_kw)[1].select(FEATURE, "ks_stat", "n_ref", "n_cur")
 
 
 def ks_pvalue_expr(d: Column, n: Column, m: Column) -> Column:
@@ -153,16 +187,18 @@ def ks_test(samples: DataFrame, **seq_kw) -> DataFrame:
     return d.withColumn("ks_pval", ks_pvalue_expr(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur")))
 
 
+def drift_table(samples: DataFrame, **seq_kw) -> DataFrame:
+    """T1-T3 per feature in one pass: (feature, psi, ks_stat, ks_pval, n_ref, n_cur)."""
+    stats = drift_statistics(samples, **seq_kw)[1]
+    return stats.withColumn("ks_pval", ks_pvalue_expr(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur")))
+
+
 def drift_report(
     samples: DataFrame, psi_threshold: float = PSI_THRESHOLD, alpha: float = KS_ALPHA, **seq_kw
 ) -> DataFrame:
     """T4 per feature: psi, ks_stat, ks_pval rounded to 4 digits, ``drifted`` when
     psi >= threshold or p < alpha (raw values). Features without current values are skipped."""
-    samples, release = hold(samples)
-    p = psi(samples, **seq_kw)
-    k = ks_test(samples, **seq_kw)
-    release()
-    r = p.join(k, FEATURE).where(F.col("n_cur") > 0)
+    r = drift_table(samples, **seq_kw).where(F.col("n_cur") > 0)
     return r.select(
         FEATURE,
         F.round("psi", 4).alias("psi"),
