@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickforge.operators.joins import attach
 from tickforge.operators.materialize import hold, small_result
-from tickforge.operators.sequence import drop_helpers, positional_slices, with_sequence
+from tickforge.operators.sequence import drop_helpers, positional_slices, quantiles_from_counts, with_sequence
 
 # Bucket count, empty-bin share, thresholds and the p-value cut-off of the drift check.
 PSI_BUCKETS = 10
@@ -59,30 +59,9 @@ def _ranked_values(dv: DataFrame, **seq_kw) -> DataFrame:
 
 
 def _edges_from_ranked(ranked: DataFrame, buckets: int) -> DataFrame:
-    """A7 from the ranked table: a distinct value covers reference ranks
-    [cum_c_ref - c_ref, cum_c_ref - 1]; each row emits the wanted ranks floor/ceil((n-1)p) it
-    covers (at most 2 * (buckets + 1) per feature in total), which are interpolated per p."""
+    """A7 from the ranked value counts: percentile edges of the reference sample."""
     probs = [i / buckets for i in range(buckets + 1)]
-    n1 = F.col("total_c_ref") - 1
-    wanted = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(role).alias("role"),
-                   (F.floor(n1 * F.lit(p)) if role == 0 else F.ceil(n1 * F.lit(p))).alias("rank"),
-                   (n1 * F.lit(p) - F.floor(n1 * F.lit(p))).alias("frac"))
-          for i, p in enumerate(probs) for role in (0, 1)]
-    )
-    start, end = F.col("cum_c_ref") - F.col("c_ref"), F.col("cum_c_ref") - 1
-    hits = ranked.where((F.col("c_ref") > 0) & (F.col("total_c_ref") > 0)).select(
-        FEATURE, VALUE, F.explode(F.filter(wanted, lambda x: (x["rank"] >= start) & (x["rank"] <= end))).alias("_w")
-    )
-    per_p = hits.groupBy(FEATURE, F.col("_w.i").alias("i")).agg(
-        F.max(F.when(F.col("_w.role") == 0, F.col(VALUE))).alias("_lo"),
-        F.max(F.when(F.col("_w.role") == 1, F.col(VALUE))).alias("_hi"),
-        F.max("_w.frac").alias("_frac"),
-    )
-    edge = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
-    return per_p.groupBy(FEATURE).agg(F.array_sort(F.collect_list(F.struct("i", edge.alias("e")))).alias("_es")).select(
-        FEATURE, F.col("_es.e").alias("edges")
-    )
+    return quantiles_from_counts(ranked, VALUE, "c_ref", probs, [FEATURE], "edges").drop("n_values")
 
 
 def bin_index(value: Column, edges: Column, buckets: int = PSI_BUCKETS) -> Column:

@@ -263,6 +263,49 @@ def temporal_split(
 # --------------------------------------------------------------------------- order statistics
 
 
+def quantiles_from_counts(
+    ranked: DataFrame,
+    value_col: str,
+    count_col: str,
+    probs: Sequence[float],
+    group_cols: Sequence[str] = (),
+    out_col: str = "edges",
+) -> DataFrame:
+    """Linear-interpolation quantiles from a table of distinct values ranked in value order with
+    running counts (``cum_<count_col>``, ``total_<count_col>`` from :func:`with_sequence`). A value
+    covers ranks [cum - count, cum - 1]; each row emits the wanted ranks floor/ceil((n-1)p) it
+    covers (``2 * len(probs)`` per group in total), which are interpolated per p."""
+    cum, total, cnt = F.col(f"cum_{count_col}"), F.col(f"total_{count_col}"), F.col(count_col)
+    n1 = total - 1
+    wanted = F.array(
+        *[F.struct(F.lit(i).alias("i"), F.lit(role).alias("role"),
+                   (F.floor(n1 * F.lit(float(p))) if role == 0 else F.ceil(n1 * F.lit(float(p)))).alias("rank"),
+                   (n1 * F.lit(float(p)) - F.floor(n1 * F.lit(float(p)))).alias("frac"))
+          for i, p in enumerate(probs) for role in (0, 1)]
+    )
+    start, end = cum - cnt, cum - 1
+    hits = ranked.where((cnt > 0) & (total > 0)).select(
+        *group_cols, F.col(value_col).alias("_tf_v"), total.alias("_tf_n"),
+        F.explode(F.filter(wanted, lambda x: (x["rank"] >= start) & (x["rank"] <= end))).alias("_w"),
+    )
+    per_p = hits.groupBy(*group_cols, F.col("_w.i").alias("i")).agg(
+        F.max(F.when(F.col("_w.role") == 0, F.col("_tf_v"))).alias("_lo"),
+        F.max(F.when(F.col("_w.role") == 1, F.col("_tf_v"))).alias("_hi"),
+        F.max("_w.frac").alias("_frac"),
+        F.max("_tf_n").alias("_tf_n"),
+    )
+    edge = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
+    per_group = per_p.groupBy(*group_cols).agg(
+        F.array_sort(F.collect_list(F.struct("i", edge.alias("e")))).alias("_es"), F.max("_tf_n").alias("n_values")
+    )
+    return per_group.select(*group_cols, F.col("_es.e").alias(out_col), F.col("n_values").cast("bigint").alias("n_values"))
+
+
+# Above this many probabilities the per-value array of wanted ranks gets long; ranks are then
+# matched to individually numbered rows with an equi-join instead.
+MAX_PROBS_BY_VALUE = 64
+
+
 def exact_quantiles(
     df: DataFrame,
     value_col: str,
@@ -273,17 +316,25 @@ def exact_quantiles(
     max_broadcast_rows: int = 2_000_000,
     **seq_kw,
 ) -> DataFrame:
-    """Exact linear-interpolation quantiles (numpy ``linear`` / SQL ``quantile_cont``) per group.
+    """Exact linear-interpolation quantiles (numpy ``linear`` / SQL ``quantile_cont``) per group,
+    as distributed order statistics; returns ``group_cols + [out_col array<double>, n_values]``.
 
-    Distributed order statistics: rank the non-null values with :func:`with_sequence`; build the
-    small table of wanted ranks ``floor/ceil((n-1)p)`` per group (at most ``2*len(probs)`` rows per
-    group) and equi-join it to the ranked rows on (group, rank) -- keys are unique, so no skew;
-    interpolate per (group, p) and gather the edges in ``p`` order.
-    Returns ``group_cols + [out_col array<double>, n_values]``."""
+    Few probabilities: count rows per (group, distinct value) -- a partial aggregate, so repeated
+    values collapse before any shuffle --, rank the distinct values with running counts and read
+    the wanted ranks off each value's rank range. Many probabilities: number the rows themselves
+    and equi-join the wanted (group, rank) table (unique keys, so no skew)."""
     from tickforge.operators.materialize import hold, small_result
 
     group_cols = list(group_cols)
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_tf_v")).where(F.col("_tf_v").isNotNull())
+    if len(probs) <= MAX_PROBS_BY_VALUE:
+        dv, release_dv = hold(vals.groupBy(*group_cols, "_tf_v").agg(F.count(F.lit(1)).cast("double").alias("_tf_c")))
+        ranked, release = hold(drop_helpers(with_sequence(dv, ["_tf_v"], group_cols, running_sums=["_tf_c"], **seq_kw)))
+        out = small_result(quantiles_from_counts(ranked, "_tf_v", "_tf_c", probs, group_cols, out_col))
+        release_dv()
+        release()
+        return out
+
     s, release = hold(with_sequence(vals, ["_tf_v"], group_cols, count_col="_tf_n", **seq_kw).select(
         GKEY, *group_cols, "_tf_v", "seq", "_tf_n"))
     sizes = s.select(GKEY, *group_cols, "_tf_n").where(F.col("seq") == 0)
