@@ -88,14 +88,16 @@ SELECT trade_id, price, quantity, quote_quantity, "timestamp", is_buyer_maker, i
 FROM d WHERE rn = 1""",
 )
 def q_silver_write_read_prune(spark, sf):
-    root = scratch_dir(spark, "silver")
+    root = scratch_dir(spark, "lake")
     t = tape_events(spark, sf)
-    days = [r[0] for r in t.select("ds").distinct().orderBy("ds").limit(2).collect()]
-    # Two Bronze chunks (UNION ALL), promoted to Silver and written by day.
-    chunks = silver.union_chunks(t.where(F.col("ds") == days[0]), t.where(F.col("ds") != days[0]))
-    sinks.write_partitions(silver.silver(chunks), root, "partition_date")
-    files.read_partition(spark, root, days[0], "partition_date")  # single-day read prunes, must exist
-    back = files.read_partition(spark, root, None, "partition_date")
+    # Bronze: capped chunk files (K1); their path list is read back as one scan.
+    sinks.write_chunks(t.drop("symbol"), f"{root}/bronze", max_rows=sinks.CHUNK_ROWS)
+    chunks = files.read_parquet_chunks(spark, spark.read.parquet(f"{root}/bronze").inputFiles())
+    # Silver: filter, newest-wins dedupe, typed projection, written by day (K2, O1).
+    sinks.write_partitions(silver.silver(chunks), f"{root}/silver", "partition_date")
+    day = chunks.agg(F.min("ds")).first()[0]
+    files.read_partition(spark, f"{root}/silver", day, "partition_date")  # one day, pruned (S6)
+    back = files.read_partition(spark, f"{root}/silver", None, "partition_date")  # all days (S7)
     return back.select(*TRADE_COLS, "partition_date")
 
 
