@@ -32,6 +32,8 @@ def attach(
     n_small = small.count() if small_rows is None else small_rows
     if n_small <= max_broadcast_rows:
         return big.join(F.broadcast(small), on=on, how=how)
+    if salts <= 1:
+        return big.join(small, on=on, how=how)
     salt = "_tf_salt"
     big_s = big.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)))
     small_s = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
