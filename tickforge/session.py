@@ -53,3 +53,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tickforge-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int, *,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at one per ~256 MB of input (at least 2 per core); AQE coalesces
+    the small ones and splits skewed join partitions at run time. File splits match."""
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(2 * cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
