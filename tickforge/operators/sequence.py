@@ -194,7 +194,10 @@ def ordered_windows(
         x = x.withColumn(OWN, F.col(BLOCK) == blk)
     # One exchange on (group, block): explicit so that it also happens when the numbering stage
     # was hash-partitioned on the group alone (single bucket), which would otherwise be reused.
-    x = x.repartition(GKEY, BLOCK)
+    # The window stage is compute-bound (frames are re-aggregated per row), so its partition
+    # count is fixed to the configured shuffle partitions rather than coalesced by bytes.
+    parts = int(df_seq.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = x.repartition(parts, GKEY, BLOCK)
     w = Window.partitionBy(GKEY, BLOCK).orderBy(seq_col)
     for stage in stages:
         x = x.withColumns(stage(w))
@@ -202,12 +205,13 @@ def ordered_windows(
 
 
 def block_size(spark, n_rows: int | None, block_rows: int, halo: int) -> int:
-    """Rows per block: at most ``block_rows``; with a known row count about two blocks per core;
-    never below four halos (halo copies stay a small share of the rows)."""
+    """Rows per block: at most ``block_rows``; with a known row count about four blocks per core
+    (hash placement of few blocks is uneven); never below four halos (halo copies stay a small
+    share of the rows)."""
     size = int(block_rows)
     if n_rows is not None:
         cores = max(1, spark.sparkContext.defaultParallelism)
-        size = min(size, math.ceil(max(1, n_rows) / (2 * cores)))
+        size = min(size, math.ceil(max(1, n_rows) / (4 * cores)))
     return max(size, 4 * int(halo), 1)
 
 
