@@ -41,6 +41,13 @@ DEFAULT_BLOCK_ROWS = 65_536
 MAX_BUCKETS = 200_000
 
 
+def _is_global(df: DataFrame) -> bool:
+    """The group key of a sequence without groups is the integer constant 0 (else a struct)."""
+    from pyspark.sql.types import StructType
+
+    return not isinstance(df.schema[GKEY].dataType, StructType)
+
+
 def group_key(group_cols: Sequence[str]) -> Column:
     """One non-null column standing for the group (struct equality treats NULL fields as equal)."""
     if not group_cols:
@@ -197,8 +204,11 @@ def ordered_windows(
     # The window stage is compute-bound (frames are re-aggregated per row), so its partition
     # count is fixed to the configured shuffle partitions rather than coalesced by bytes.
     parts = int(df_seq.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = x.repartition(parts, GKEY, BLOCK)
-    w = Window.partitionBy(GKEY, BLOCK).orderBy(seq_col)
+    # Without groups the key is a constant, which the optimizer drops from the window's
+    # partitioning; partition on the block alone so the requirement is met by this exchange.
+    keys = [BLOCK] if _is_global(df_seq) else [GKEY, BLOCK]
+    x = x.repartition(parts, *keys)
+    w = Window.partitionBy(*keys).orderBy(seq_col)
     for stage in stages:
         x = x.withColumns(stage(w))
     return x.where(F.col(OWN)).drop(BLOCK, OWN)
