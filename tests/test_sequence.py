@@ -98,3 +98,31 @@ def test_no_single_partition_exchange(spark, frame):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in text
     assert "_tf_bucket" in text and "_tf_block" in text  # exchanges on (group, bucket) and (group, block)
+
+
+def test_hot_tie_is_split_and_numbered(spark):
+    """A third of all rows share one timestamp: the value is detected as hot, isolated in its own
+    bucket and numbered by the next order column; positions still equal row_number."""
+    from tickforge.operators.sequence import plan_buckets
+
+    rng = np.random.default_rng(11)
+    n = 3000
+    t = rng.integers(0, 10_000, size=n)
+    t[: n // 3] = 4242  # hot tie
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b"], size=n, p=[0.8, 0.2]), "t": t, "id": rng.permutation(n), "x": 1.0})
+    df = spark.createDataFrame(pdf)
+    plan = plan_buckets(df, "t", rows_per_bucket=100)
+    assert 4242.0 in plan.hot
+    s = drop_helpers(with_sequence(df, ["t", "id"], ["g"], running_sums=["x"], rows_per_bucket=100)).toPandas()
+    exp = pdf.sort_values(["g", "t", "id"]).assign(r=lambda d: d.groupby("g").cumcount())
+    m = s.merge(exp[["id", "r"]], on="id")
+    assert len(m) == n and (m["seq"] == m["r"]).all()
+    assert np.allclose(m["cum_x"], m["seq"] + 1) and (s.groupby("g")["total_x"].nunique() == 1).all()
+
+
+def test_many_evenly_spaced_quantiles(spark):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([np.full(500, 3.0), rng.normal(size=700)])  # heavy ties
+    probs = list(np.linspace(0, 1, 257))
+    q = exact_quantiles(spark.createDataFrame(pd.DataFrame({"v": x})), "v", probs, rows_per_bucket=50).collect()[0]
+    assert np.allclose(q["edges"], np.percentile(x, np.array(probs) * 100), atol=1e-12)

@@ -59,15 +59,22 @@ def _order_exprs(order_cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order_cols]
 
 
-def quantile_edges(df: DataFrame, col: str, n_buckets: int) -> list[float]:
-    """Distinct approximate quantile edges splitting ``col`` into ``n_buckets`` similar-size parts."""
+def quantile_edges(df: DataFrame, col: str, n_buckets: int) -> tuple[list[float], list[float]]:
+    """Approximate quantile edges splitting ``col`` into ``n_buckets`` similar-size parts.
+
+    Returns (distinct edges, hot values). A value that comes out as two or more edges holds more
+    than a bucket's worth of rows by itself (a tie in the order key): it is returned as hot, so
+    that its rows get their own bucket and are numbered by the next order column."""
     if n_buckets <= 1:
-        return []
+        return [], []
     probs = [i / n_buckets for i in range(1, n_buckets)]
     accuracy = max(10_000, 20 * n_buckets)
     row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("e")).first()
-    vals = row["e"] if row is not None else None
-    return sorted({float(v) for v in (vals or []) if v is not None and not math.isnan(v)})
+    vals = [float(v) for v in ((row["e"] if row is not None else None) or []) if v is not None and not math.isnan(v)]
+    counts: dict[float, int] = {}
+    for v in vals:
+        counts[v] = counts.get(v, 0) + 1
+    return sorted(counts), sorted(v for v, c in counts.items() if c >= 2)
 
 
 @dataclass(frozen=True)
@@ -76,6 +83,7 @@ class BucketPlan:
 
     n: int
     edges: tuple[float, ...]
+    hot: tuple[float, ...] = ()
 
 
 def plan_buckets(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> BucketPlan:
@@ -88,7 +96,10 @@ def plan_buckets(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PE
     if k <= 1 or lo is None or hi is None or hi <= lo:
         return BucketPlan(n, ())
     if math.ceil(n / max(1, rows_per_bucket)) > 1:
-        return BucketPlan(n, tuple(quantile_edges(df, key, k)))
+        edges, hot = quantile_edges(df, key, k)
+        # [v, next double above v) holds exactly the rows whose key equals the hot value v.
+        isolated = sorted(set(edges) | {math.nextafter(v, math.inf) for v in hot})
+        return BucketPlan(n, tuple(isolated), tuple(hot))
     return BucketPlan(n, tuple(lo + (hi - lo) * i / k for i in range(1, k)))
 
 
@@ -152,6 +163,11 @@ def with_sequence(
         stat_cols.append(F.min(f"_tf_bmin_{i}").over(Window.partitionBy(GKEY)).alias(f"min_{c}"))
     stats = stats.select(*stat_cols)
 
+    split_ties = bool(plan.hot) and len(order_cols) > 1
+    if split_ties:
+        is_tie = F.col(order_cols[0]).cast("double").isin(list(plan.hot))
+        tied, b = b.where(is_tie), b.where(~is_tie | F.col(order_cols[0]).isNull())
+
     joined = b.join(stats, on=[GKEY, BUCKET], how="inner")
     w = Window.partitionBy(GKEY, BUCKET).orderBy(*_order_exprs(order_cols))
     out = joined.withColumn(seq_col, F.col(OFFSET) + F.row_number().over(w) - F.lit(1))
@@ -160,7 +176,41 @@ def with_sequence(
         out = out.withColumns(
             {f"cum_{c}": F.col(f"_tf_boff_{i}") + F.sum(c).over(upto) for i, c in enumerate(running_sums)}
         ).drop(*[f"_tf_boff_{i}" for i in range(len(running_sums))])
-    return out.drop(OFFSET, BUCKET)
+    out = out.drop(OFFSET, BUCKET)
+    if split_ties:
+        out = out.unionByName(
+            _number_ties(tied, stats, order_cols, group_cols, seq_col, count_col, min_cols, running_sums, rows_per_bucket)
+        )
+    return out
+
+
+def _number_ties(tied, stats, order_cols, group_cols, seq_col, count_col, min_cols, running_sums, rows_per_bucket):
+    """Rows of hot tie values: each value has its own bucket, whose offset (and running-sum
+    offsets) are attached by a size-checked broadcast or a salted join -- never a shuffle keyed
+    on the hot bucket --, then the rows are numbered by the remaining order columns with the tie
+    value as an extra group, recursively and again without a single task per value."""
+    from tickforge.operators.joins import attach
+
+    keep = [c for c in stats.columns if c not in (GKEY, BUCKET)]
+    t = attach(tied, stats, [GKEY, BUCKET], how="inner").drop(GKEY, BUCKET)
+    ren = {OFFSET: "_tf_toff"}
+    for i, c in enumerate(running_sums):
+        ren[f"_tf_boff_{i}"] = f"_tf_tboff_{i}"
+        ren[f"total_{c}"] = f"_tf_ttot_{i}"
+    ren[count_col] = "_tf_tn"
+    t = t.withColumnsRenamed({k: v for k, v in ren.items() if k in keep})
+    local = with_sequence(
+        t, order_cols[1:], [*group_cols, order_cols[0]], seq_col="_tf_lseq", count_col="_tf_ln",
+        running_sums=running_sums, rows_per_bucket=rows_per_bucket,
+    ).drop(GKEY, "_tf_ln")
+    cols = {seq_col: F.col("_tf_toff") + F.col("_tf_lseq"), count_col: F.col("_tf_tn")}
+    for i, c in enumerate(running_sums):
+        cols[f"cum_{c}"] = F.col(f"_tf_tboff_{i}") + F.col(f"cum_{c}")
+        cols[f"total_{c}"] = F.col(f"_tf_ttot_{i}")
+    out = local.withColumns(cols).withColumn(GKEY, group_key(group_cols))
+    drop = ["_tf_toff", "_tf_lseq", "_tf_tn"] + [f"_tf_tboff_{i}" for i in range(len(running_sums))]
+    drop += [f"_tf_ttot_{i}" for i in range(len(running_sums))]
+    return out.drop(*drop)
 
 
 Stage = Callable[[WindowSpec], dict[str, Column]]
@@ -277,6 +327,11 @@ def temporal_split(
 # --------------------------------------------------------------------------- order statistics
 
 
+def _evenly_spaced(probs: Sequence[float]) -> bool:
+    k = len(probs)
+    return k > 2 and all(abs(float(p) - i / (k - 1)) < 1e-12 for i, p in enumerate(probs))
+
+
 def quantiles_from_counts(
     ranked: DataFrame,
     value_col: str,
@@ -286,21 +341,34 @@ def quantiles_from_counts(
     out_col: str = "edges",
 ) -> DataFrame:
     """Linear-interpolation quantiles from a table of distinct values ranked in value order with
-    running counts (``cum_<count_col>``, ``total_<count_col>`` from :func:`with_sequence`). A value
-    covers ranks [cum - count, cum - 1]; each row emits the wanted ranks floor/ceil((n-1)p) it
-    covers (``2 * len(probs)`` per group in total), which are interpolated per p."""
+    running counts (``cum_<count_col>``, ``total_<count_col>`` from :func:`with_sequence`).
+
+    A value covers ranks [cum - count, cum - 1]; it emits the wanted ranks floor/ceil((n-1)p) it
+    covers (``2 * len(probs)`` rows per group in total), which are interpolated per p. Few
+    probabilities are tested against every row; many evenly spaced ones (transform knots) only
+    against the few candidate indices the row's rank range can hit."""
     cum, total, cnt = F.col(f"cum_{count_col}"), F.col(f"total_{count_col}"), F.col(count_col)
     n1 = total - 1
-    wanted = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(role).alias("role"),
-                   (F.floor(n1 * F.lit(float(p))) if role == 0 else F.ceil(n1 * F.lit(float(p)))).alias("rank"),
-                   (n1 * F.lit(float(p)) - F.floor(n1 * F.lit(float(p)))).alias("frac"))
-          for i, p in enumerate(probs) for role in (0, 1)]
-    )
     start, end = cum - cnt, cum - 1
+    k = len(probs)
+    parr = F.array(*[F.lit(float(p)) for p in probs])
+
+    def entry(i: Column, role: int) -> Column:
+        h = n1 * F.element_at(parr, i + 1)
+        rank = F.floor(h) if role == 0 else F.ceil(h)
+        return F.struct(i.alias("i"), F.lit(role).alias("role"), rank.alias("rank"), (h - F.floor(h)).alias("frac"))
+
+    if k <= MAX_PROBS_BY_VALUE or not _evenly_spaced(probs):
+        cands = F.array(*[entry(F.lit(i), role) for i in range(k) for role in (0, 1)])
+    else:
+        step = F.lit(float(k - 1)) / F.greatest(n1, F.lit(1)).cast("double")
+        i_lo = F.greatest(F.floor((start - 1) * step) - 1, F.lit(0)).cast("int")
+        i_hi = F.least(F.ceil((end + 1) * step) + 1, F.lit(k - 1)).cast("int")
+        idx = F.sequence(i_lo, i_hi)
+        cands = F.flatten(F.transform(idx, lambda i: F.array(entry(i, 0), entry(i, 1))))
     hits = ranked.where((cnt > 0) & (total > 0)).select(
         *group_cols, F.col(value_col).alias("_tf_v"), total.alias("_tf_n"),
-        F.explode(F.filter(wanted, lambda x: (x["rank"] >= start) & (x["rank"] <= end))).alias("_w"),
+        F.explode(F.filter(cands, lambda x: (x["rank"] >= start) & (x["rank"] <= end))).alias("_w"),
     )
     per_p = hits.groupBy(*group_cols, F.col("_w.i").alias("i")).agg(
         F.max(F.when(F.col("_w.role") == 0, F.col("_tf_v"))).alias("_lo"),
@@ -315,8 +383,7 @@ def quantiles_from_counts(
     return per_group.select(*group_cols, F.col("_es.e").alias(out_col), F.col("n_values").cast("bigint").alias("n_values"))
 
 
-# Above this many probabilities the per-value array of wanted ranks gets long; ranks are then
-# matched to individually numbered rows with an equi-join instead.
+# Up to this many probabilities every value row is tested against every wanted rank.
 MAX_PROBS_BY_VALUE = 64
 
 
@@ -327,56 +394,21 @@ def exact_quantiles(
     group_cols: Sequence[str] = (),
     *,
     out_col: str = "edges",
-    max_broadcast_rows: int = 2_000_000,
     **seq_kw,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy ``linear`` / SQL ``quantile_cont``) per group,
     as distributed order statistics; returns ``group_cols + [out_col array<double>, n_values]``.
 
-    Few probabilities: count rows per (group, distinct value) -- a partial aggregate, so repeated
-    values collapse before any shuffle --, rank the distinct values with running counts and read
-    the wanted ranks off each value's rank range. Many probabilities: number the rows themselves
-    and equi-join the wanted (group, rank) table (unique keys, so no skew)."""
+    Rows are counted per (group, distinct value) -- a partial aggregate, so repeated values
+    (ties, however hot) collapse before any shuffle --, the distinct values are ranked with
+    running counts, and the wanted ranks are read off each value's rank range."""
     from tickforge.operators.materialize import hold, small_result
 
     group_cols = list(group_cols)
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_tf_v")).where(F.col("_tf_v").isNotNull())
-    if len(probs) <= MAX_PROBS_BY_VALUE:
-        dv, release_dv = hold(vals.groupBy(*group_cols, "_tf_v").agg(F.count(F.lit(1)).cast("double").alias("_tf_c")))
-        ranked, release = hold(drop_helpers(with_sequence(dv, ["_tf_v"], group_cols, running_sums=["_tf_c"], **seq_kw)))
-        out = small_result(quantiles_from_counts(ranked, "_tf_v", "_tf_c", probs, group_cols, out_col))
-        release_dv()
-        release()
-        return out
-
-    s, release = hold(with_sequence(vals, ["_tf_v"], group_cols, count_col="_tf_n", **seq_kw).select(
-        GKEY, *group_cols, "_tf_v", "seq", "_tf_n"))
-    sizes = s.select(GKEY, *group_cols, "_tf_n").where(F.col("seq") == 0)
-    plist = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    h = (F.col("_tf_n") - 1).cast("double") * F.col("_q.p")
-    wanted = (
-        sizes.withColumn("_q", F.explode(plist))
-        .select(GKEY, *group_cols, "_tf_n", F.col("_q.i").alias("i"), F.floor(h).alias("lo"), F.ceil(h).alias("hi"),
-                (h - F.floor(h)).alias("frac"))
-    )
-    # (group, rank, quantile index, role): at most 2 * len(probs) rows per group.
-    ranks = wanted.select(
-        GKEY, "i", F.explode(F.array(F.struct(F.col("lo").alias("seq"), F.lit(0).alias("role")),
-                                     F.struct(F.col("hi").alias("seq"), F.lit(1).alias("role")))).alias("_r")
-    ).select(GKEY, "i", "_r.seq", "_r.role")
-    n_groups = sizes.count()
-    if n_groups * 2 * len(probs) <= max_broadcast_rows:
-        ranks = F.broadcast(ranks)
-    e = s.select(GKEY, "seq", "_tf_v").join(ranks, [GKEY, "seq"])
-    pairs = e.groupBy(GKEY, "i").agg(
-        F.max(F.when(F.col("role") == 0, F.col("_tf_v"))).alias("_lo_v"),
-        F.max(F.when(F.col("role") == 1, F.col("_tf_v"))).alias("_hi_v"),
-    )
-    q = wanted.join(pairs, [GKEY, "i"])
-    q = q.withColumn("_e", F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * F.col("frac"))
-    per_group = q.groupBy(GKEY, *group_cols).agg(
-        F.first("_tf_n").alias("n_values"), F.array_sort(F.collect_list(F.struct("i", "_e"))).alias("_es")
-    )
-    out = small_result(per_group.select(*group_cols, F.col("_es._e").alias(out_col), "n_values"))
+    dv, release_dv = hold(vals.groupBy(*group_cols, "_tf_v").agg(F.count(F.lit(1)).cast("double").alias("_tf_c")))
+    ranked, release = hold(drop_helpers(with_sequence(dv, ["_tf_v"], group_cols, running_sums=["_tf_c"], **seq_kw)))
+    out = small_result(quantiles_from_counts(ranked, "_tf_v", "_tf_c", probs, group_cols, out_col))
+    release_dv()
     release()
     return out

@@ -21,12 +21,14 @@ def counter_rate(
     by: Sequence[str] = (),
     ts_col: str = "ts_ms",
     value_col: str = "value",
+    order_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Per tumbling window, the reset-aware increase of each counter series (a drop in value
     is a reset: the new value counts as the increase) summed over series (grouped by ``by``), per
     minute: ``increase / window seconds * 60``. Consecutive samples come from the positional
     engine (lag 1 per series)."""
-    s = with_sequence(samples, [ts_col], series_cols)
+    # Samples of a series are ordered by time, then value (a counter only grows between resets).
+    s = with_sequence(samples, list(order_cols or (ts_col, value_col)), series_cols)
 
     def stage(w):
         prev = F.lag(value_col, 1).over(w)
