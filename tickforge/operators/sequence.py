@@ -3,8 +3,11 @@
 ``with_sequence`` gives every row its 0-based position ``seq`` inside its group (or the whole
 table) under a total order:
 
-1. rows are put into buckets by approximate quantiles of the leading order column
-   (``Bucketizer`` over ``percentile_approx`` edges, so bursts in time are split);
+1. one small job counts the rows and the range of the leading order column; rows are put into
+   buckets by approximate quantiles of that column when the size bound needs it (``Bucketizer``
+   over ``percentile_approx`` edges, so bursts in time are split) or by equal-width ranges when
+   only parallelism asks for buckets; a value repeated over several quantile edges (a hot tie)
+   gets its own bucket and is numbered recursively by the next order column;
 2. rows are counted per (group, bucket) -- a partial aggregate, a hot group is pre-reduced
    on every mapper;
 3. the small count table is turned into running offsets per group (and the group size and
@@ -181,6 +184,7 @@ def with_sequence(
         out = out.unionByName(
             _number_ties(tied, stats, order_cols, group_cols, seq_col, count_col, min_cols, running_sums, rows_per_bucket)
         )
+    out._tf_rows = plan.n  # read by ordered_windows to size blocks when called right after
     return out
 
 
@@ -236,6 +240,8 @@ def ordered_windows(
     """
     if GKEY not in df_seq.columns:
         raise ValueError("ordered_windows expects the output of with_sequence")
+    if n_rows is None:
+        n_rows = getattr(df_seq, "_tf_rows", None)
     size = block_size(df_seq.sparkSession, n_rows, block_rows, max(lookback, lookahead))
     blk = F.floor(F.col(seq_col) / F.lit(size)).cast("bigint")
     pos = F.col(seq_col) - blk * F.lit(size)
