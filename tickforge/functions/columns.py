@@ -12,7 +12,7 @@ MS_PER_DAY = 86_400_000
 
 
 def epoch_ms(df: DataFrame, col: str) -> Column:
-    """Epoch milliseconds of a timestamp column, independent of the session time zone.
+    """Epoch milliseconds of a timestamp column, independent of the session time zone.
 
     ``TIMESTAMP_NTZ`` values are wall-clock UTC (as the parquet writer stored them); a
     ``TIMESTAMP`` is an instant. Dates count from midnight UTC.
@@ -37,12 +37,12 @@ def epoch_to_ms(col: Column, ts_unit: str = "ms") -> Column:
 
 
 def ds_from_ms(ms: Column) -> Column:
-    """``YYYY-MM-DD`` (UTC) of an epoch-ms column, without going through the session zone."""
+    """``YYYY-MM-DD`` (UTC) of an epoch-ms column, without going through the session zone."""
     return F.date_from_unix_date(F.floor(ms / F.lit(MS_PER_DAY)).cast("int")).cast("string")
 
 
 def calendar_fields(ms: Column) -> dict[str, Column]:
-    """UTC hour, minute of day and second of an epoch-ms column, from integer arithmetic."""
+    """UTC hour, minute of day and second of an epoch-ms column, from integer arithmetic."""
     sec = F.floor(ms / F.lit(1000.0))
     return {
         "hour": F.pmod(F.floor(sec / 3600), F.lit(24)),
@@ -52,19 +52,19 @@ def calendar_fields(ms: Column) -> dict[str, Column]:
 
 
 def guarded_div(num: Column, den: Column, eps: float | None = None) -> Column:
-    """``num / (den + eps)`` when ``eps`` is given (literal reference formula), else NULL on 0."""
+    """``num / (den + eps)`` when ``eps`` is given (literal reference formula), else NULL on 0."""
     if eps is not None:
         return F.try_divide(num, den + F.lit(eps))
     return F.try_divide(num, den)
 
 
 def ln_pos(x: Column) -> Column:
-    """Natural log; NULL for non-positive or NULL input (never raises, never -inf)."""
+    """Natural log; NULL for non-positive or NULL input (never raises, never -inf)."""
     return F.when(x > 0, F.log(x))
 
 
 def code_u8(x: Column) -> Column:
-    """8-bit code: clip(round-half-even(x*255), 0, 255)."""
+    """E1 / E4 (M2): 8-bit code: clip(round-half-even(x*255), 0, 255)."""
     return F.least(F.greatest(F.rint(x * F.lit(255.0)), F.lit(0.0)), F.lit(255.0)).cast("short")
 
 

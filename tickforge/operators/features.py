@@ -156,7 +156,10 @@ def trade_features(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Compute the trade feature families in one positional pass.
+    """Compute the trade feature families in one positional pass: rolling mean / std / max / min /
+    sums and order flow (W1-W5), tick log return and realized volatility (W6, W7), lags with
+    back-fill or strict and returns (W8-W10), momentum and Bollinger (W11-W13), rolling VWAP
+    (W14), elapsed time (W15), next / horizon targets (W16), size bucket (W17).
 
     ``lag_mode='backfill'``: the first ``k`` rows of a group take the group's first value and a
     group of at most ``k`` rows gets 0 (lag features), returns are 0 there. ``'strict'``: NULL.
@@ -334,6 +337,11 @@ def train_feature_names(windows: Sequence[int] = TRAIN_WINDOWS, lag_steps: Seque
     return names
 
 
+def warmup(df: DataFrame, cols: Sequence[str], mode: str) -> DataFrame:
+    """Fill NULL features with 0.0 (``mode='fill'``) or drop rows with a NULL feature."""
+    return _warmup(df, cols, mode)
+
+
 def _warmup(df: DataFrame, cols: Sequence[str], warmup: str) -> DataFrame:
     """Fill NULL features with 0.0, or drop rows with a NULL feature."""
     cols = [c for c in cols if c in df.columns]

@@ -140,7 +140,8 @@ def prepare_matrix(
 def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "predicted",
                        group_cols: Sequence[str] = ()) -> DataFrame:
     """RMSE, MAE, R^2 = 1 - SSE/SST (SST from the population variance), MAPE % with a
-    1e-9 guard; all rounded to 4 digits. One aggregate."""
+    1e-9 guard; all rounded to 4 digits. One aggregate; grouped by a model label it is the
+    full-versus-pruned comparison (M15)."""
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     e = y - p
     agg = df.groupBy(*group_cols).agg(
@@ -183,7 +184,8 @@ def prediction_band(pred: Column, band_pct: float = BAND_PCT) -> Column:
 
 
 def fit_gbt(train: DataFrame, feature_cols: Sequence[str], label: str = "target_y", **params) -> PipelineModel:
-    """M5: gradient-boosted regression trees (Spark ML) on the given columns."""
+    """M5 / M9: gradient-boosted regression trees (Spark ML) on the given columns; the refit on
+    the kept features after pruning is the same call on the pruned column list."""
     p = {**GBT_PARAMS, **params}
     assembler = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", **p)
@@ -310,8 +312,9 @@ def score(
     id_col: str = "trade_id",
     version: str = "local",
 ) -> DataFrame:
-    """Align to the pruned columns (missing -> 0.0, P10), transform by name, code,
-    predict; price and band rounded to 2 digits."""
+    """Align to the pruned columns (missing -> 0.0, P10), transform by name,
+    code, predict; price and band rounded to 2 digits. Raw trades go through the feature builder
+    first (M11); vectors from the online table (J1) are scored as they are (M12)."""
     from tickforge.operators.online import align_columns
 
     cols = fitted.pruned_cols

@@ -137,7 +137,7 @@ def with_sequence(
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     plan: BucketPlan | None = None,
 ) -> DataFrame:
-    """Add ``seq`` (0-based position in group), ``count_col`` (group size) and the group minimum
+    """G1: add ``seq`` (0-based position in group), ``count_col`` (group size) and the group minimum
     ``min_<c>`` for ``c`` in ``min_cols`` (e.g. the first timestamp). For ``c`` in ``running_sums``
     also ``cum_<c>`` (inclusive running sum in order) and ``total_<c>`` (group sum), carried by
     the same bucket offsets and the same exchange. Keeps the helper group key column

@@ -80,6 +80,11 @@ def silver(
     )
 
 
+def partition_counts(df: DataFrame, partition_col: str = "partition_date") -> DataFrame:
+    """K6: rows per partition after a load (a grouped count; pruned when filtered on one day)."""
+    return df.groupBy(partition_col).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def olap_projection(df: DataFrame) -> DataFrame:
     """K5 type mapping: flags as 0/1 integers, partition column as string."""
     return df.select(

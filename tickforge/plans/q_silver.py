@@ -59,7 +59,7 @@ def q_latest_wins_olap(spark, sf):
     with_tapes(E_TAPE) + "\nSELECT ds, CAST(count(*) AS BIGINT) AS n_rows FROM e GROUP BY ds",
 )
 def q_partition_counts(spark, sf):
-    return tape_events(spark, sf).groupBy("ds").agg(F.count(F.lit(1)).alias("n_rows"))
+    return silver.partition_counts(tape_events(spark, sf), "ds")
 
 
 _ROW_CONTRACT_SQL = """

@@ -77,8 +77,9 @@ def read_parquet_chunks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def read_partition(spark: SparkSession, root: str, ds: str | None = None, partition_col: str = "ds") -> DataFrame:
-    """Partitioned table scan; ``ds`` prunes to one partition (a partition filter on the
-    scan). A requested partition that holds no rows is an error."""
+    """Partitioned table scan; ``ds`` prunes to one partition (a partition filter on
+    the scan). A requested partition that holds no rows is an error. ``root`` is any Hadoop path:
+    an object store (``s3a://bucket/...``) works the same, with credentials in the Spark conf."""
     df = spark.read.option("basePath", root).parquet(root)
     # Partition values are day strings; keep them strings (inference would make them dates).
     df = df.withColumn(partition_col, F.col(partition_col).cast("string"))
