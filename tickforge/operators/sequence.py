@@ -141,7 +141,11 @@ def with_sequence(
     ``min_<c>`` for ``c`` in ``min_cols`` (e.g. the first timestamp). For ``c`` in ``running_sums``
     also ``cum_<c>`` (inclusive running sum in order) and ``total_<c>`` (group sum), carried by
     the same bucket offsets and the same exchange. Keeps the helper group key column
-    ``_tf_group`` (dropped by :func:`drop_helpers`)."""
+    ``_tf_group`` (dropped by :func:`drop_helpers`).
+
+    Rows tied on a hot value of the leading order column are numbered by the next order column
+    (recursively). With a single order column, tied rows are interchangeable and callers rank
+    distinct values with counts instead (see :func:`exact_quantiles`)."""
     order_cols, group_cols = list(order_cols), list(group_cols)
     base = df.withColumn(GKEY, group_key(group_cols))
     plan = plan or plan_buckets(df, order_cols[0], rows_per_bucket)

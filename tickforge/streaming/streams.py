@@ -25,6 +25,9 @@ from tickforge.schema import DEFAULT_ORDER
 from tickforge.session import scratch_dir
 from tickforge.sources import sinks
 
+# Up to this many touched days a micro-batch names them in a partition filter.
+MAX_LISTED_DAYS = 10_000
+
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
     """A driver table (one parquet file in ``sf_dir``) as a file stream."""
@@ -114,11 +117,14 @@ def newest_wins_upsert(
     spark = batch.sparkSession
     merged = batch
     if _table_exists(spark, root):
-        days = batch.select(partition_col).distinct()
+        days = batch.select(F.col(partition_col).cast("string").alias(partition_col)).distinct()
         old = spark.read.parquet(root).withColumn(partition_col, F.col(partition_col).cast("string"))
-        old = old.join(F.broadcast(days), partition_col, "left_semi") if days.count() <= 100_000 else old.join(
-            days, partition_col, "left_semi"
-        )
+        touched = days.limit(MAX_LISTED_DAYS + 1).collect()
+        if len(touched) <= MAX_LISTED_DAYS:
+            # A literal list of touched days is a static partition filter: only they are read.
+            old = old.where(F.col(partition_col).isin([r[0] for r in touched]))
+        else:
+            old = old.join(days, partition_col, "left_semi")
         merged = old.unionByName(batch.select(*old.columns))
     merged = silver.dedupe_latest(merged, [partition_col, *key_cols], order_cols).checkpoint(eager=True)
     sinks.write_partitions(merged, root, partition_col, sort_cols=[c for c in ("timestamp", *key_cols) if c in merged.columns],
