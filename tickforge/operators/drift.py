@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -160,24 +161,92 @@ def ks_pvalue_expr(d: Column, n: Column, m: Column) -> Column:
     return F.when((n < 2) | (m < 2), F.lit(1.0)).when(lam < KS_SMALL_LAMBDA, F.lit(1.0)).otherwise(p)
 
 
-def ks_test(samples: DataFrame, **seq_kw) -> DataFrame:
-    """T2 + T3: (feature, ks_stat, ks_pval, n_ref, n_cur)."""
+def ks_exact_pvalue(d: float, n: int, m: int) -> float:
+    """Exact two-sided P(D >= d) for two samples of sizes ``n``, ``m`` under the null (continuous
+    data): 1 - (monotone lattice paths from (0,0) to (n,m) that stay strictly inside the band
+    |i*m - j*n| < h*gcd(n,m), with h = round(d * lcm(n,m))) / C(n+m, n). Each lattice row is a
+    cumulative sum over one contiguous interval; rows are rescaled to stay in range."""
+    import math
+
+    import numpy as np
+
+    if n < 1 or m < 1:
+        return 1.0
+    g = math.gcd(n, m)
+    lcm = n // g * m
+    h = int(round(d * lcm))
+    if h <= 0:
+        return 1.0
+    bound = h * g
+    row = np.zeros(m + 1)
+    hi0 = min(m, -((-bound) // n) - 1)  # j * n < bound
+    row[: hi0 + 1] = 1.0
+    log_scale = 0.0
+    for i in range(1, n + 1):
+        lo = max(0, (i * m - bound) // n + 1)
+        hi = min(m, -((-(i * m + bound)) // n) - 1)
+        new = np.zeros(m + 1)
+        if lo <= hi:
+            new[lo : hi + 1] = np.cumsum(row[lo : hi + 1])
+        top = new.max()
+        if top <= 0:
+            return 1.0
+        row = new / top
+        log_scale += math.log(top)
+    if row[m] <= 0:
+        return 1.0
+    log_inside = log_scale + math.log(row[m]) - (math.lgamma(n + m + 1) - math.lgamma(n + 1) - math.lgamma(m + 1))
+    return float(min(1.0, max(0.0, 1.0 - math.exp(log_inside))))
+
+
+# The library's automatic choice uses the exact path up to this sample size.
+KS_EXACT_MAX_N = 10_000
+
+
+def _exact_udf():
+    @F.pandas_udf("double")
+    def exact(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([ks_exact_pvalue(float(a), int(b), int(c)) for a, b, c in zip(d, n, m)])
+
+    return exact
+
+
+def ks_test(samples: DataFrame, method: str = "asymptotic", **seq_kw) -> DataFrame:
+    """T2 + T3: (feature, ks_stat, ks_pval, n_ref, n_cur).
+
+    ``method``: ``asymptotic`` (the Kolmogorov series, SQL-expressible), ``exact`` (lattice-path
+    count), or ``auto`` (exact when both samples have at most 10,000 values). The exact path runs
+    on the per-feature statistics table (one row per feature), not on the data."""
     d = ks_statistic(samples, **seq_kw)
-    return d.withColumn("ks_pval", ks_pvalue_expr(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur")))
+    return d.withColumn("ks_pval", ks_pvalue(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur"), method))
 
 
-def drift_table(samples: DataFrame, **seq_kw) -> DataFrame:
+def ks_pvalue(d: Column, n: Column, m: Column, method: str = "asymptotic") -> Column:
+    """T3 p-value column for the chosen ``method`` (see :func:`ks_test`)."""
+    asym = ks_pvalue_expr(d, n, m)
+    if method == "asymptotic":
+        return asym
+    exact = F.when((n < 1) | (m < 1), F.lit(1.0)).otherwise(_exact_udf()(d, n, m))
+    if method == "exact":
+        return exact
+    if method == "auto":
+        return F.when(F.greatest(n, m) <= KS_EXACT_MAX_N, exact).otherwise(asym)
+    raise ValueError(f"method must be 'asymptotic', 'exact' or 'auto', got {method!r}")
+
+
+def drift_table(samples: DataFrame, method: str = "asymptotic", **seq_kw) -> DataFrame:
     """T1-T3 per feature in one pass: (feature, psi, ks_stat, ks_pval, n_ref, n_cur)."""
     stats = drift_statistics(samples, **seq_kw)[1]
-    return stats.withColumn("ks_pval", ks_pvalue_expr(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur")))
+    return stats.withColumn("ks_pval", ks_pvalue(F.col("ks_stat"), F.col("n_ref"), F.col("n_cur"), method))
 
 
 def drift_report(
-    samples: DataFrame, psi_threshold: float = PSI_THRESHOLD, alpha: float = KS_ALPHA, **seq_kw
+    samples: DataFrame, psi_threshold: float = PSI_THRESHOLD, alpha: float = KS_ALPHA, method: str = "asymptotic",
+    **seq_kw,
 ) -> DataFrame:
     """T4 per feature: psi, ks_stat, ks_pval rounded to 4 digits, ``drifted`` when
     psi >= threshold or p < alpha (raw values). Features without current values are skipped."""
-    r = drift_table(samples, **seq_kw).where(F.col("n_cur") > 0)
+    r = drift_table(samples, method, **seq_kw).where(F.col("n_cur") > 0)
     return r.select(
         FEATURE,
         F.round("psi", 4).alias("psi"),

@@ -181,3 +181,10 @@ FROM smp GROUP BY feature""",
 def q_drift_request_check(spark, sf):
     c = contracts.drift_request_check(_sym_samples(spark, sf), group_cols=["feature"], threshold=0.20)
     return c.withColumnRenamed("feature", "symbol")
+
+
+@register("ks_pvalue_exact", "T3")
+def q_ks_pvalue_exact(spark, sf):
+    """Small-sample exact p-value (the automatic choice: exact up to 10,000 values per sample).
+    No SQL oracle; the lattice count is tested against brute-force enumeration."""
+    return drift.ks_test(_samples(spark, sf), method="auto").select("feature", "ks_stat", "ks_pval", "n_ref", "n_cur")
