@@ -51,6 +51,14 @@ def _is_global(df: DataFrame) -> bool:
     return not isinstance(df.schema[GKEY].dataType, StructType)
 
 
+def content_hash(df: DataFrame, cols: Sequence[str]) -> Column:
+    """Deterministic 64-bit hash of a row's hashable columns (map columns are skipped)."""
+    from pyspark.sql.types import MapType
+
+    usable = [F.col(c) for c in cols if not isinstance(df.schema[c].dataType, MapType)]
+    return F.xxhash64(*usable) if usable else F.lit(0).cast("bigint")
+
+
 def group_key(group_cols: Sequence[str]) -> Column:
     """One non-null column standing for the group (struct equality treats NULL fields as equal)."""
     if not group_cols:
@@ -176,7 +184,10 @@ def with_sequence(
         tied, b = b.where(is_tie), b.where(~is_tie | F.col(order_cols[0]).isNull())
 
     joined = b.join(stats, on=[GKEY, BUCKET], how="inner")
-    w = Window.partitionBy(GKEY, BUCKET).orderBy(*_order_exprs(order_cols))
+    # Rows tied on every order column are ordered by a hash of their content, so a recomputed
+    # partition (lost executor) numbers them exactly as the first attempt did.
+    content = content_hash(df, df.columns)
+    w = Window.partitionBy(GKEY, BUCKET).orderBy(*_order_exprs(order_cols), content)
     out = joined.withColumn(seq_col, F.col(OFFSET) + F.row_number().over(w) - F.lit(1))
     if running_sums:
         upto = w.rowsBetween(Window.unboundedPreceding, 0)

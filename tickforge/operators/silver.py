@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.columns import ds_from_ms, epoch_to_ms
 from tickforge.operators.joins import attach
+from tickforge.operators.sequence import content_hash
 from tickforge.schema import TRADE_COLS
 
 # Tie-breakers after the timestamp when two rows share an id ("larger wins").
@@ -50,9 +51,9 @@ def dedupe_latest(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[s
     on every mapper before the shuffle."""
     key_cols = list(key_cols)
     payload = [c for c in df.columns if c not in key_cols]
-    picked = df.groupBy(*key_cols).agg(
-        F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct(*[F.col(c) for c in order_cols])).alias("_tf_row")
-    )
+    # A content hash closes remaining ties, so the kept row never depends on processing order.
+    order = F.struct(*[F.col(c) for c in order_cols], content_hash(df, payload).alias("_tf_h"))
+    picked = df.groupBy(*key_cols).agg(F.max_by(F.struct(*[F.col(c) for c in payload]), order).alias("_tf_row"))
     return picked.select(*key_cols, *[F.col(f"_tf_row.{c}").alias(c) for c in payload]).select(*df.columns)
 
 
