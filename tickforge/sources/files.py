@@ -44,9 +44,14 @@ def read_trades_csv_sniffed(spark: SparkSession, path: str | Sequence[str]) -> D
 
 
 def _unzip_first_csv(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per task: open each archive by path (seekable stream, never the whole file in one value),
+    read the first ``.csv`` member line by line and yield 50k-row string batches."""
+    from tickforge.sources.sinks import _filesystem
+
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+        for path in pdf["path"]:
+            fs, local = _filesystem(path)
+            with fs.open_input_file(local) as raw, zipfile.ZipFile(raw) as zf:
                 members = [m for m in zf.namelist() if m.lower().endswith(".csv")]
                 if not members:
                     raise ValueError(f"No CSV file found inside archive {path}")
@@ -64,9 +69,11 @@ def _unzip_first_csv(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_trades_zip(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
     """Zipped daily CSV archives; the first ``.csv`` member of each archive is read, an
-    archive without one is an error. One task per archive (zip is not splittable); rows are
-    streamed out in 50k-row batches, so memory stays bounded. Returns raw strings."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
+    archive without one is an error. Archives are listed with the ``binaryFile`` source reading
+    only their paths (the content column is pruned, so no archive becomes one in-memory value);
+    each task opens its archive as a stream. One task per archive (zip is not splittable); rows
+    leave in 50k-row batches, so memory stays bounded. Returns raw strings."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
     files = files.repartition(F.col("path"))  # one archive per task
     return files.mapInPandas(_unzip_first_csv, RAW_TRADE_SCHEMA)
 
