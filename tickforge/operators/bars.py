@@ -21,6 +21,26 @@ def signed_quantity() -> Column:
     return F.when(F.col("is_buyer_maker"), -F.col("quantity")).otherwise(F.col("quantity"))
 
 
+def order_key(df: DataFrame, order_cols: Sequence[str]) -> Column:
+    """Ordering value for ``min_by``/``max_by`` over (time, id).
+
+    For two integral columns it is the exact DECIMAL(38,0) ``t * 2e19 + (id + 1e19)``: order
+    preserving for every long id and |t| < 5e18, and fixed-width, so the aggregate stays a hash
+    aggregate (a struct ordering forces a sort-based aggregate, a full map-side sort at scale).
+    Otherwise the struct of the columns."""
+    from pyspark.sql import types as T
+
+    cols = list(order_cols)
+    integral = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+    if len(cols) == 2 and all(isinstance(df.schema[c].dataType, integral) for c in cols):
+        a, b = cols
+        return F.expr(
+            f"CAST(CAST(`{a}` AS DECIMAL(38,0)) * 20000000000000000000BD"
+            f" + (CAST(`{b}` AS DECIMAL(38,0)) + 10000000000000000000BD) AS DECIMAL(38,0))"
+        )
+    return F.struct(*[F.col(c) for c in cols])
+
+
 def bar_start(bar_ms: int, ts_unit: str = "ms") -> Column:
     ms = epoch_to_ms(F.col("timestamp"), ts_unit)
     return (F.floor(ms / F.lit(bar_ms)) * F.lit(bar_ms)).cast("bigint")
@@ -34,8 +54,9 @@ def ohlcv(
     ts_unit: str = "ms",
 ) -> DataFrame:
     """A1: open/close = price of the first/last trade in the bar (by ``order_cols``), high, low,
-    volume, quote volume, order-flow imbalance. ``window_start`` is epoch ms (UTC)."""
-    order = F.struct(*[F.col(c) for c in order_cols])
+    volume, quote volume, order-flow imbalance. ``window_start`` is epoch ms (UTC). All
+    aggregates combine map-side in a hash aggregate (see :func:`order_key`)."""
+    order = order_key(df, order_cols)
     return (
         df.withColumn("window_start", bar_start(bar_ms, ts_unit))
         .groupBy(*group_cols, "window_start")
@@ -58,19 +79,22 @@ def ohlcv_partials(
     order_cols: Sequence[str] = DEFAULT_ORDER,
     ts_unit: str = "ms",
 ) -> DataFrame:
-    """A3 state table: per bar the extreme (order key, price) structs and the sums.
-
-    States merge with ``min``/``max``/``sum``, so any coarser bar is a re-aggregation of this
-    table; re-writing one ``ds`` of it with dynamic overwrite is idempotent."""
-    key = F.struct(*[F.col(c) for c in order_cols], F.col("price").alias("price"))
+    """A3 state table: per bar the order keys and prices of the first and last trade, high, low
+    and the sums. States merge with ``min_by``/``max_by``/``min``/``max``/``sum``, so any coarser
+    bar is a re-aggregation of this table; re-writing one ``ds`` of it with dynamic overwrite is
+    idempotent."""
+    key = order_key(df, order_cols)
     return (
         df.withColumn("window_start", bar_start(bar_ms, ts_unit))
+        .withColumn("_tf_k", key)
         .groupBy(*group_cols, "window_start")
         .agg(
-            F.min(key).alias("open_state"),
+            F.min("_tf_k").alias("open_key"),
+            F.min_by("price", "_tf_k").alias("open_price"),
             F.max("price").alias("high_state"),
             F.min("price").alias("low_state"),
-            F.max(key).alias("close_state"),
+            F.max("_tf_k").alias("close_key"),
+            F.max_by("price", "_tf_k").alias("close_price"),
             F.sum("quantity").alias("volume_state"),
             F.sum("quote_quantity").alias("quote_volume_state"),
             F.sum(signed_quantity()).alias("ofi_state"),
@@ -84,25 +108,14 @@ def merge_partials(partials: DataFrame, bar_ms: int, group_cols: Sequence[str] =
         partials.withColumn("window_start", (F.floor(F.col("window_start") / F.lit(bar_ms)) * F.lit(bar_ms)).cast("bigint"))
         .groupBy(*group_cols, "window_start")
         .agg(
-            F.min("open_state").alias("_o"),
+            F.min_by("open_price", "open_key").alias("open"),
             F.max("high_state").alias("high"),
             F.min("low_state").alias("low"),
-            F.max("close_state").alias("_c"),
+            F.max_by("close_price", "close_key").alias("close"),
             F.sum("volume_state").alias("volume"),
             F.sum("quote_volume_state").alias("quote_volume"),
             F.sum("ofi_state").alias("order_flow_imbalance"),
         )
-        .select(
-            *group_cols,
-            "window_start",
-            F.col("_o.price").alias("open"),
-            "high",
-            "low",
-            F.col("_c.price").alias("close"),
-            "volume",
-            "quote_volume",
-            "order_flow_imbalance",
-        )
     )
 
 

@@ -52,7 +52,9 @@ def stream_ohlcv(
 ) -> DataFrame:
     """Tumbling-window bars on a stream (append mode emits a bar once the watermark passes
     its end; update/complete re-emit changed bars)."""
-    order = F.struct(*[F.col(c) for c in order_cols])
+    from tickforge.operators.bars import order_key
+
+    order = order_key(tape, order_cols)
     signed = F.when(F.col("is_buyer_maker"), -F.col("quantity")).otherwise(F.col("quantity"))
     return (
         event_time(tape)
