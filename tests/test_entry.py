@@ -21,3 +21,12 @@ def test_small_queries_run(spark):
     q = entry_mod.queries()
     for name in ["silver_dedupe", "ohlcv_1m", "psi", "gold_features_global", "online_lookup_fallback"]:
         assert q[name](spark, SF001).count() >= 0
+
+
+def test_cluster_conf_sizes_partitions():
+    from tickforge.session import cluster_conf
+
+    c = cluster_conf(100 * 2**40, 1000, 8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600  # ~256 MB of input per partition
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(1, 2, 4)["spark.sql.shuffle.partitions"]) == 16  # at least 2 per core
