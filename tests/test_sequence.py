@@ -126,3 +126,16 @@ def test_many_evenly_spaced_quantiles(spark):
     probs = list(np.linspace(0, 1, 257))
     q = exact_quantiles(spark.createDataFrame(pd.DataFrame({"v": x})), "v", probs, rows_per_bucket=50).collect()[0]
     assert np.allclose(q["edges"], np.percentile(x, np.array(probs) * 100), atol=1e-12)
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from tickforge.operators.sequence import approx_quantiles
+
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 20_000, p=[0.9, 0.1]), "v": rng.normal(size=20_000)})
+    df = spark.createDataFrame(pdf)
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r.g: r.edges for r in approx_quantiles(df, "v", probs, ["g"], accuracy=10_000).collect()}
+    for g, vals in pdf.groupby("g")["v"]:
+        ranks = np.searchsorted(np.sort(vals.to_numpy()), got[g]) / len(vals)
+        assert np.all(np.abs(ranks - np.array(probs)) <= 2e-3 + 1.0 / len(vals))

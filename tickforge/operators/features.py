@@ -17,6 +17,7 @@ from tickforge.functions.columns import TWO_PI, calendar_fields, epoch_to_ms, ln
 from tickforge.operators.joins import attach
 from tickforge.operators.sequence import (
     DEFAULT_BLOCK_ROWS,
+    approx_quantiles,
     DEFAULT_ROWS_PER_BUCKET,
     drop_helpers,
     exact_quantiles,
@@ -92,10 +93,14 @@ def size_bucket_expr(value: Column, edges: Column) -> Column:
 
 
 def size_bucket_knots(
-    df: DataFrame, group_cols: Sequence[str] = (), value_col: str = "quantity", buckets: int = SIZE_BUCKETS, **seq_kw
+    df: DataFrame, group_cols: Sequence[str] = (), value_col: str = "quantity", buckets: int = SIZE_BUCKETS,
+    method: str = "exact", **seq_kw,
 ) -> DataFrame:
-    """Quantile edges of trade size per group (exact, distributed)."""
+    """Quantile edges of trade size per group: exact distributed order statistics, or one sketch
+    aggregate with ``method="approx"``."""
     probs = [i / buckets for i in range(buckets + 1)]
+    if method == "approx":
+        return approx_quantiles(df, value_col, probs, group_cols, out_col="size_edges").drop("n_values")
     return exact_quantiles(df, value_col, probs, group_cols, out_col="size_edges", **seq_kw).drop("n_values")
 
 

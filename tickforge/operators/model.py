@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge.functions.columns import code_trunc, code_u8
-from tickforge.operators.sequence import drop_helpers, exact_quantiles, with_sequence
+from tickforge.operators.sequence import approx_quantiles, drop_helpers, exact_quantiles, with_sequence
 
 # Transform knots, model hyper-parameters, pruning and promotion defaults.
 MAX_KNOTS = 1000
@@ -38,9 +38,13 @@ EPS = 1e-9
 # --------------------------------------------------------------------------- M1 quantile transform
 
 
-def fit_quantile_knots(df: DataFrame, columns: Sequence[str], n_quantiles: int | None = None, **seq_kw) -> DataFrame:
-    """M1 fit: ``n_quantiles`` (default min(1000, rows)) exact linear-interpolation quantiles of
-    every column, all columns in one job. Returns (feature, knots array<double>)."""
+def fit_quantile_knots(
+    df: DataFrame, columns: Sequence[str], n_quantiles: int | None = None, *, method: str = "exact",
+    accuracy: int = 10_000, **seq_kw,
+) -> DataFrame:
+    """M1 fit: ``n_quantiles`` (default min(1000, rows)) linear-interpolation quantiles of every
+    column, all columns in one job; ``method="approx"`` uses one sketch aggregate instead of
+    exact order statistics. Returns (feature, knots array<double>)."""
     cols = list(columns)
     if n_quantiles is None:
         n_quantiles = min(MAX_KNOTS, df.count())
@@ -48,7 +52,12 @@ def fit_quantile_knots(df: DataFrame, columns: Sequence[str], n_quantiles: int |
     probs = [float(p) for p in np.linspace(0.0, 1.0, n_quantiles)]
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, value)")
-    knots = exact_quantiles(long, "value", probs, ["feature"], out_col="knots", **seq_kw)
+    if method == "approx":
+        knots = approx_quantiles(long, "value", probs, ["feature"], out_col="knots", accuracy=accuracy)
+    elif method == "exact":
+        knots = exact_quantiles(long, "value", probs, ["feature"], out_col="knots", **seq_kw)
+    else:
+        raise ValueError(f"method must be 'exact' or 'approx', got {method!r}")
     # The fitted knots must be non-decreasing (guards interpolation rounding).
     return knots.select("feature", F.expr("transform(knots, (x, i) -> array_max(slice(knots, 1, i + 1)))").alias("knots"))
 

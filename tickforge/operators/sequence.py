@@ -435,3 +435,27 @@ def exact_quantiles(
     release_dv()
     release()
     return out
+
+
+def approx_quantiles(
+    df: DataFrame,
+    value_col: str,
+    probs: Sequence[float],
+    group_cols: Sequence[str] = (),
+    *,
+    out_col: str = "edges",
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """Approximate quantiles per group from one ``percentile_approx`` aggregate: each partial
+    aggregate keeps a sketch of bounded size (rank error about n / ``accuracy``), so a hot group
+    costs no more memory than any other. The option for scale where exact order statistics are
+    not required (edges of buckets, knots of the transform)."""
+    v = F.col(value_col).cast("double")
+    return (
+        df.where(v.isNotNull())
+        .groupBy(*group_cols)
+        .agg(
+            F.percentile_approx(v, [float(p) for p in probs], int(accuracy)).cast("array<double>").alias(out_col),
+            F.count(F.lit(1)).alias("n_values"),
+        )
+    )
