@@ -50,3 +50,11 @@ def test_duplicates_nulls_and_empty(spark):
     assert r["duplicate_trades"] == 11 and r["max_null_pct"] == 0.2
     e = contracts.dataset_contract(frame(spark, 0), min_rows=1).collect()
     assert e[0]["total_rows"] == 0 and e[0]["max_null_pct"] == 0.0 and len(e[0]["errors"]) == 1
+
+
+def test_null_rates_and_duplicate_count(spark):
+    df = frame(spark, 10).withColumn("price", F.when(F.col("trade_id") <= 3, F.lit(None)).otherwise(F.col("price")))
+    rates = {r.column_name: r.null_pct for r in contracts.null_rates(df, ["price", "quantity"]).collect()}
+    assert rates == {"price": 0.3, "quantity": 0.0}
+    dup = df.withColumn("trade_id", F.col("trade_id") % 4)  # values 0..3 over 10 rows
+    assert contracts.duplicate_count(dup).collect()[0].duplicate_count == 6
