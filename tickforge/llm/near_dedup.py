@@ -231,4 +231,4 @@ def keep_first(docs: DataFrame, **how) -> DataFrame:
     """The documents (all their columns) whose id names their class; NULL ids stay."""
     classes = near_duplicates(docs, **how)
     gone = written(classes.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("gone")).distinct(), "near-gone")
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")

@@ -175,8 +175,8 @@ def _apply(verdicts: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     per_doc = verdicts.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("window").alias("windows"), F.collect_list("whole").alias("whole"))
     rows = docs.join(per_doc, "doc_id", "left").select("doc_id", "text", "anchors", "windows", "whole")
     powers = Powers()
-    schema = _FINAL + ", anchor long, start int, raw binary, starts array<int>"
-    kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32())]
+    schema = _FINAL + ", key long, anchor long, start int, raw binary, starts array<int>"
+    kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32())]
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -190,7 +190,7 @@ def _apply(verdicts: DataFrame, docs: DataFrame, least: int) -> DataFrame:
         out = []
         for i, (doc_id, own) in enumerate(zip(ids, parts)):
             if said[i] is None:
-                out.append((doc_id, len(own), 0, 0, hashlib.sha256(own).hexdigest(), None, None, None, None))
+                out.append((doc_id, len(own), 0, 0, hashlib.sha256(own).hexdigest(), None, None, None, None, None))
                 continue
             k = slice(cut[i], cut[i + 1])
             mine = np.stack([h[k], w[k]], axis=1).view(np.int64)
@@ -203,10 +203,12 @@ def _apply(verdicts: DataFrame, docs: DataFrame, least: int) -> DataFrame:
             starts = _spread(first[gone], last[gone])
             compare = [j for j, v in enumerate(verdict) if v is False]
             if not compare:
-                out.append((doc_id, len(own), *_cut(own, starts, least), None, None, None, None))
+                out.append((doc_id, len(own), *_cut(own, starts, least), None, None, None, None, None))
                 continue
-            out.append((doc_id, len(own), None, None, None, None, None, own, starts.astype(np.int32)))
-            out += [(doc_id, None, None, None, None, int(mine[j, 0]), int(first[j]), own[first[j] : last[j] + least], None) for j in compare]
+            # A doc_id may come with several texts: the key tells them apart.
+            key = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little", signed=True)
+            out.append((doc_id, len(own), None, None, None, key, None, None, own, starts.astype(np.int32)))
+            out += [(doc_id, None, None, None, None, key, int(mine[j, 0]), int(first[j]), own[first[j] : last[j] + least], None) for j in compare]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     return map_texts(rows, run, schema)
@@ -244,27 +246,27 @@ def repeated_in_shard(pieces: list[bytes], owners: np.ndarray, least: int = LEAS
 
 
 def _compare(found: DataFrame, least: int, shard_bytes: int, hot_windows: int) -> DataFrame:
-    """(doc_id, starts): strings of compared windows that occur in a smaller document."""
-    rows = found.where(F.col("anchor").isNotNull()).select("doc_id", "anchor", "start", "raw")
+    """(doc_id, key, starts): strings of compared windows that occur in a smaller document."""
+    rows = found.where(F.col("anchor").isNotNull()).select("doc_id", "key", "anchor", "start", "raw")
     total = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
     hot = written(rows.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot_windows).select("anchor"), "repeats-hot")
     shards = max(1, -(-total // shard_bytes))
     dealt = rows.join(hot, "anchor", "left_anti").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["anchor", "doc_id", "start"], ignore_index=True)
+        pdf = pdf.sort_values(["anchor", "doc_id", "key", "start"], ignore_index=True)
         got = repeated_in_shard(pdf["raw"].tolist(), pdf["doc_id"].to_numpy(), least)
         keep = [i for i, g in enumerate(got) if len(g)]
-        return pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[keep], "starts": [(got[i] + pdf["start"].iloc[i]).astype(np.int32) for i in keep]})
+        return pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[keep], "key": pdf["key"].to_numpy()[keep], "starts": pd.Series([(got[i] + pdf["start"].iloc[i]).astype(np.int32) for i in keep], dtype=object)})
 
-    lost = dealt.select("doc_id", "anchor", "start", "raw", "shard").groupBy("shard").applyInPandas(run, "doc_id long, starts array<int>")
+    lost = dealt.select("doc_id", "key", "anchor", "start", "raw", "shard").groupBy("shard").applyInPandas(run, "doc_id long, key long, starts array<int>")
     if hot.isEmpty():
         return lost
     at = F.explode(F.sequence(F.lit(0), F.octet_length("raw") - least))
-    one = rows.join(hot, "anchor", "left_semi").select("doc_id", "start", "raw", at.alias("at"))
-    one = one.select("doc_id", (F.col("start") + F.col("at")).alias("start"), F.substring("raw", F.col("at") + 1, F.lit(least)).alias("string"))
+    one = rows.join(hot, "anchor", "left_semi").select("doc_id", "key", "start", "raw", at.alias("at"))
+    one = one.select("doc_id", "key", (F.col("start") + F.col("at")).alias("start"), F.substring("raw", F.col("at") + 1, F.lit(least)).alias("string"))
     low = one.groupBy("string").agg(F.min("doc_id").alias("low"))
-    more = one.join(low, "string").where("doc_id > low").select("doc_id", F.array(F.col("start").cast("int")).alias("starts"))
+    more = one.join(low, "string").where("doc_id > low").select("doc_id", "key", F.array(F.col("start").cast("int")).alias("starts"))
     return lost.unionByName(more)
 
 
@@ -275,9 +277,9 @@ def remove_repeats(documents: DataFrame, *, least: int = LEAST, shard_bytes: int
     anchors = _anchors(docs, least).repartition(n, "anchor").sortWithinPartitions("anchor", "window", "doc_id")
     verdicts = written(anchors.mapInArrow(_judge, "doc_id long, anchor long, window long, whole boolean"), "repeats-verdicts")
     found = written(_apply(verdicts, docs, least), "repeats-found")
-    lost = _compare(found, least, shard_bytes, hot_windows).groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("lost"))
+    lost = _compare(found, least, shard_bytes, hot_windows).groupBy("doc_id", "key").agg(F.flatten(F.collect_list("starts")).alias("lost"))
     final = found.where(F.col("kept_sha256").isNotNull()).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    waiting = found.where(F.col("n_bytes").isNotNull() & F.col("kept_sha256").isNull()).select("doc_id", "raw", "starts").join(lost, "doc_id", "left")
+    waiting = found.where(F.col("n_bytes").isNotNull() & F.col("kept_sha256").isNull()).select("doc_id", "key", "raw", "starts").join(lost, ["doc_id", "key"], "left")
 
     def cut(batches):
         names = [x.split()[0] for x in _FINAL.split(", ")]
