@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tickforge.session import scratch_dir
 
 #: Characters of text that one Python step holds at a time (a longer single text is one step).
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
