@@ -12,7 +12,8 @@ No group is ever expanded into its pairs. Equal shingle sets are first collapsed
 representative. In a round every member of a bucket is compared with the bucket's leaders (one in
 the first round, more later), unless both are of one class already; leaders then leave
 the bucket, and rounds go on with new leaders in the buckets that still hold members of different
-classes, until none does. So no link between different classes is missed, and a large group of
+classes, until none does. Sets are left out that hold too many elements of no other candidate
+(no link could cover them), and pairs that cannot share enough for the same reason. So no link between different classes is missed, and a large group of
 copies is done after one round. Joins are on (band, key) with the few leaders on one side, so a
 hot bucket splits by its members.
 
@@ -35,8 +36,8 @@ from tickforge.llm.common import Powers, by_id, map_texts, mix, texts_of, writte
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
-#: Leaders a bucket in the second round; doubled in each further one.
-LEADERS = 4
+#: Leaders a bucket in the second round, four times as many in each further one.
+LEADERS = 8
 # Words are runs of ASCII letters, digits and underscores and of all characters beyond ASCII.
 _IN_WORD = np.array([b >= 128 or chr(b).isalnum() or b == 95 for b in range(256)])
 # Darts in a cell of area one (Poisson), by twelve random bits.
@@ -146,6 +147,17 @@ def _sets(docs: DataFrame, shingle_words: int) -> DataFrame:
     return map_texts(docs, run, "rep long, elements array<long>, counts array<int>")
 
 
+def _measures(sets: DataFrame, similarity: float, weighted: bool) -> DataFrame:
+    """rep, size, shared (weight of the elements that some other set has too) of the sets that can
+    be linked at all: a link covers ``similarity`` of the set, and no lone element."""
+    each = sets.select("rep", F.explode(F.arrays_zip("elements", "counts")).alias("x")).select("rep", F.col("x.elements").alias("element"), (F.col("x.counts") if weighted else F.lit(1)).cast("long").alias("weight"))
+    lone = each.groupBy("element").agg(F.count("*").alias("n"), F.min("rep").alias("rep"), F.min("weight").alias("weight")).where("n = 1").groupBy("rep").agg(F.sum("weight").alias("lone"))
+    size = F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x) if weighted else F.size("elements").cast("long")
+    sized = sets.select("rep", size.alias("size")).join(lone, "rep", "left")
+    sized = sized.select("rep", "size", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("shared"))
+    return sized.where(F.col("shared") >= similarity * F.col("size") - 1e-9)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of the nodes of ``links`` (a, b): label is the smallest node of the component.
 
@@ -195,6 +207,11 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     # A doc_id may repeat with other texts; only the text that was signed stands for a set.
     sets = written(_sets(wanted, shingle_words).groupBy("rep").agg(F.first("elements").alias("elements"), F.first("counts").alias("counts")), "near-sets")
 
+    measures = written(_measures(sets, similarity, weighted), "near-measures")
+    members = members.join(measures, "rep")
+    shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
+    members = written(members.join(shared, ["band", "key"]), "near-members")
+
     # doc_ids that came with several texts, and equal sets, are links by themselves.
     links = marks.where(F.col("doc_id").isNotNull()).join(reps.select("same", "rep"), "same").where(F.col("doc_id") != F.col("rep"))
     twice = marks.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
@@ -203,11 +220,17 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     labels = components(links)
     lanes = 1
     while not members.isEmpty():
-        leaders = members.groupBy("band", "key", F.pmod(F.xxhash64("rep"), F.lit(lanes)).alias("lane")).agg(F.min("rep").alias("led")).drop("lane")
-        leaders = written(leaders, "near-leaders")
+        # The leader is the member with the smallest share of lone elements: the most central one.
+        typical = F.struct((1 - F.col("shared") / F.col("size")).alias("lone"), F.col("rep").alias("led"), F.col("size").alias("led_size"), F.col("shared").alias("led_shared"))
+        leaders = members.groupBy("band", "key", F.pmod(F.xxhash64("rep"), F.lit(lanes)).alias("lane")).agg(F.min(typical).alias("x"))
+        leaders = written(leaders.select("band", "key", "x.led", "x.led_size", "x.led_shared"), "near-leaders")
         other = labels.select(F.col("node").alias("led"), F.col("label").alias("led_label"))
         mine = labels.select(F.col("node").alias("rep"), "label")
-        pairs = members.join(leaders, ["band", "key"]).where("rep <> led").select(F.least("rep", "led").alias("rep"), F.greatest("rep", "led").alias("led")).distinct()
+        # What two sets share is at most what either shares with any other: most pairs of loosely
+        # alike documents end here, exactly.
+        most = F.least("shared", "led_shared")
+        can = most >= similarity * (F.col("size") + F.col("led_size") - most) - 1e-9
+        pairs = members.join(leaders, ["band", "key"]).where((F.col("rep") != F.col("led")) & can).select(F.least("rep", "led").alias("rep"), F.greatest("rep", "led").alias("led")).distinct()
         pairs = pairs.join(other, "led", "left").join(mine, "rep", "left").where(F.coalesce("led_label", "led") != F.coalesce("label", "rep"))
         pairs = written(pairs.select(F.col("rep").alias("a"), F.col("led").alias("b")), "near-pairs")
         found = written(_verified(pairs, sets, similarity, weighted), "near-found")
@@ -217,11 +240,11 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
             labels = components(links)
         # A leader has met every member of its bucket and leaves it. Buckets whose other members
         # are all of one class are done.
-        rest = members.join(leaders.withColumnRenamed("led", "rep"), ["band", "key", "rep"], "left_anti")
-        named = rest.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        rest = members.join(leaders.select("band", "key", F.col("led").alias("rep")), ["band", "key", "rep"], "left_anti")
+        named = rest.select("band", "key", "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
         mixed = named.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
         members = written(rest.join(mixed, ["band", "key"]), "near-members")
-        lanes = max(LEADERS, 2 * lanes)
+        lanes = max(LEADERS, 4 * lanes)
     names = reps.select("same", "rep").join(labels, F.col("rep") == F.col("node"), "left")
     names = names.select("same", F.coalesce("label", "rep").alias("class_id"))
     return marks.select("doc_id", "same").join(names, "same").select("doc_id", "class_id")
