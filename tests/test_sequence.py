@@ -139,3 +139,21 @@ def test_approx_quantiles_close_to_exact(spark):
     for g, vals in pdf.groupby("g")["v"]:
         ranks = np.searchsorted(np.sort(vals.to_numpy()), got[g]) / len(vals)
         assert np.all(np.abs(ranks - np.array(probs)) <= 2e-3 + 1.0 / len(vals))
+
+
+def test_positions_of_integers_beyond_doubles(spark):
+    # Nanosecond stamps: neighbours share a double; a third of the rows share one stamp.
+    rows = [(1_700_000_000_000_000_000 + (i % 40 if i % 3 else 7), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "ts long, id long")
+    out = with_sequence(df, ["ts", "id"], rows_per_bucket=200)
+    assert [(r["ts"], r["id"]) for r in out.orderBy("seq").collect()] == sorted(rows)
+    assert sorted(r["seq"] for r in out.select("seq").collect()) == list(range(4000))
+
+
+def test_constant_leading_key_is_split_by_the_next(spark):
+    rows = [(5, float("nan") if i % 10 == 0 else float(i % 97), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "day long, value double, id long")
+    out = with_sequence(df, ["day", "value", "id"], rows_per_bucket=200)
+    got = [r["id"] for r in out.orderBy("seq").collect()]
+    want = [i for _, _, i in sorted((x for x in rows if x[1] == x[1]), key=lambda x: x[1:])] + [i for _, v, i in rows if v != v]
+    assert got == want

@@ -1,5 +1,6 @@
 """Streaming forms agree with the batch operators."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -79,3 +80,18 @@ def test_stream_bars_append_mode_emits_closed_bars(spark, tmp_path):
         got = ref.select(*cols).limit(0)
     assert got.exceptAll(ref.select(*cols)).count() == 0  # emitted bars are final and correct
     assert ref.count() - 1 <= got.count() <= ref.count()  # only the bar still open is held back
+
+
+def test_unreadable_table_raises_and_keeps_its_rows(spark, tmp_path, monkeypatch):
+    import tickforge.streaming.streams as streams
+
+    root = str(tmp_path / "table")
+    rows = [(i, 1.0, 1_700_000_000_000 + i, "2024-01-01") for i in range(100)]
+    schema = "trade_id long, price double, timestamp long, ds string"
+    streams.newest_wins_upsert(spark.createDataFrame(rows, schema), root, ["trade_id"], ["timestamp"])
+    (tmp_path / "table" / "ds=2024-01-01" / "part-broken.snappy.parquet").write_bytes(b"no parquet file")
+    with pytest.raises(Exception):
+        streams.newest_wins_upsert(spark.createDataFrame([(500, 2.0, 1_700_000_001_000, "2024-01-01")], schema), root, ["trade_id"], ["timestamp"])
+    (tmp_path / "table" / "ds=2024-01-01" / "part-broken.snappy.parquet").unlink()
+    assert spark.read.parquet(root).count() == 100
+    assert not streams._table_exists(spark, str(tmp_path / "none"))

@@ -121,8 +121,11 @@ def merge_partials(partials: DataFrame, bar_ms: int, group_cols: Sequence[str] =
 
 def trailing_filter(df: DataFrame, as_of_ms: int, minutes: int = 60, ts_unit: str = "ms") -> DataFrame:
     """Rows at or after ``as_of - minutes`` (``as_of`` explicit, never wall-clock now)."""
-    lower = float(as_of_ms - int(minutes) * MINUTE_MS)
-    return df.where(epoch_to_ms(F.col("timestamp"), ts_unit) >= F.lit(lower))
+    lower = as_of_ms - int(minutes) * MINUTE_MS
+    if dict(df.dtypes).get("timestamp") == "bigint" and ts_unit in ("ms", "us"):
+        # A bare integer comparison reaches the scan as a pushed filter.
+        return df.where(F.col("timestamp") >= F.lit(lower * (1000 if ts_unit == "us" else 1)).cast("long"))
+    return df.where(epoch_to_ms(F.col("timestamp"), ts_unit) >= F.lit(float(lower)))
 
 
 def trailing_summary(

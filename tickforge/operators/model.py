@@ -227,14 +227,17 @@ def permutation_importance(
     (feature, rank)), and one ``model.transform`` scores everything; R^2 per (feature, repeat).
     Returns (feature, importance)."""
     feats = list(feature_cols)
+    # Positions may repeat (one sequence a group): number the rows of the sample themselves.
     base = sample.where(F.col(seq_col) < n_rows).select(seq_col, label, *feats)
+    numbered = Window.orderBy(F.col(seq_col), F.xxhash64(F.col(label), *feats), F.col(label), *feats)
+    base = base.withColumn("_row", F.row_number().over(numbered) - 1).checkpoint()
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in feats)
-    values = base.selectExpr(f"{seq_col} AS _src", f"stack({len(feats)}, {stack}) AS (feature, _pv)")
+    values = base.selectExpr("_row AS _src", f"stack({len(feats)}, {stack}) AS (feature, _pv)")
     copies = base.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn(
         "feature", F.explode(F.array(*[F.lit(c) for c in feats]))
     )
-    order = F.xxhash64(F.col(seq_col), F.col("feature"), F.col("repeat"), F.lit(seed))
-    ranks = copies.withColumn("_src", F.row_number().over(Window.partitionBy("feature", "repeat").orderBy(order)) - 1)
+    order = F.xxhash64(F.col("_row"), F.col("feature"), F.col("repeat"), F.lit(seed))
+    ranks = copies.withColumn("_src", F.row_number().over(Window.partitionBy("feature", "repeat").orderBy(order, "_row")) - 1)
     perm = ranks.join(values, ["feature", "_src"])
     perm = perm.withColumns({c: F.when(F.col("feature") == c, F.col("_pv")).otherwise(F.col(c)) for c in feats})
     base_r2 = _r2(model.transform(base), label).first()[0]

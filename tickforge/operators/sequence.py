@@ -70,6 +70,12 @@ def _order_exprs(order_cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order_cols]
 
 
+def _number(col: str) -> Column:
+    """The column as a double for bucket edges; NaN counts as NULL (both go to the last bucket)."""
+    number = F.col(col).cast("double")
+    return F.when(~F.isnan(number), number)
+
+
 def quantile_edges(df: DataFrame, col: str, n_buckets: int) -> tuple[list[float], list[float]]:
     """Approximate quantile edges splitting ``col`` into ``n_buckets`` similar-size parts.
 
@@ -82,7 +88,7 @@ def quantile_edges(df: DataFrame, col: str, n_buckets: int) -> tuple[list[float]
     # Edges only need to be right to a fraction of a bucket: rank error <= n / (4 * buckets)
     # keeps the sketch per partial aggregate small even for many buckets.
     accuracy = max(10_000, 4 * n_buckets)
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("e")).first()
+    row = df.agg(F.percentile_approx(_number(col), probs, accuracy).alias("e")).first()
     vals = [float(v) for v in ((row["e"] if row is not None else None) or []) if v is not None and not math.isnan(v)]
     counts: dict[float, int] = {}
     for v in vals:
@@ -97,14 +103,18 @@ class BucketPlan:
     n: int
     edges: tuple[float, ...]
     hot: tuple[float, ...] = ()
+    constant: bool = False  # every row has the same (non-NULL) leading value
 
 
 def plan_buckets(df: DataFrame, key: str, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> BucketPlan:
     """One small job: count and range of ``key``. When the size bound needs several buckets the
     edges are approximate quantiles (a second job; bursts in time are split); when only the
     parallelism floor asks for buckets, equal-width edges over the range are enough."""
-    row = df.agg(F.count(F.lit(1)), F.min(F.col(key).cast("double")), F.max(F.col(key).cast("double"))).first()
+    number = _number(key)
+    row = df.agg(F.count(F.lit(1)), F.min(number), F.max(number), F.count(key), F.min(key).eqNullSafe(F.max(key))).first()
     n, lo, hi = int(row[0]), row[1], row[2]
+    if n and int(row[3]) == n and row[4]:
+        return BucketPlan(n, (), constant=True)
     k = bucket_count(df.sparkSession, n, rows_per_bucket)
     if k <= 1 or lo is None or hi is None or hi <= lo:
         return BucketPlan(n, ())
@@ -159,6 +169,12 @@ def with_sequence(
     order_cols, group_cols = list(order_cols), list(group_cols)
     base = df.withColumn(GKEY, group_key(group_cols))
     plan = plan or plan_buckets(df, order_cols[0], rows_per_bucket)
+    if plan.constant and len(order_cols) > 1:
+        # One leading value for all rows orders nothing: the next column takes its place.
+        return with_sequence(
+            df, order_cols[1:], group_cols, seq_col=seq_col, count_col=count_col, min_cols=min_cols,
+            running_sums=running_sums, rows_per_bucket=rows_per_bucket,
+        )
     b = with_bucket(base, order_cols[0], list(plan.edges))
 
     aggs = [F.count(F.lit(1)).alias("_tf_cnt")]
@@ -209,7 +225,10 @@ def _number_ties(tied, stats, order_cols, group_cols, seq_col, count_col, min_co
     """Rows of hot tie values: each value has its own bucket, whose offset (and running-sum
     offsets) are attached by a size-checked broadcast or a salted join -- never a shuffle keyed
     on the hot bucket --, then the rows are numbered by the remaining order columns with the tie
-    value as an extra group, recursively and again without a single task per value."""
+    value as an extra group, recursively and again without a single task per value.
+
+    Integers beyond 2**53 share a double with their neighbours: the group is the double, and the
+    distance of the integer from it is the next order column."""
     from tickforge.operators.joins import attach
 
     keep = [c for c in stats.columns if c not in (GKEY, BUCKET)]
@@ -220,10 +239,15 @@ def _number_ties(tied, stats, order_cols, group_cols, seq_col, count_col, min_co
         ren[f"total_{c}"] = f"_tf_ttot_{i}"
     ren[count_col] = "_tf_tn"
     t = t.withColumnsRenamed({k: v for k, v in ren.items() if k in keep})
+    rest = order_cols[1:]
+    t = t.withColumn("_tf_tie", F.col(order_cols[0]).cast("double"))
+    if t.schema[order_cols[0]].dataType.typeName() in ("long", "decimal"):
+        t = t.withColumn("_tf_rest", F.col(order_cols[0]).cast("decimal(38,0)") - F.col("_tf_tie").cast("decimal(38,0)"))
+        rest = ["_tf_rest", *rest]
     local = with_sequence(
-        t, order_cols[1:], [*group_cols, order_cols[0]], seq_col="_tf_lseq", count_col="_tf_ln",
+        t, rest, [*group_cols, "_tf_tie"], seq_col="_tf_lseq", count_col="_tf_ln",
         running_sums=running_sums, rows_per_bucket=rows_per_bucket,
-    ).drop(GKEY, "_tf_ln")
+    ).drop(GKEY, "_tf_ln", "_tf_tie", "_tf_rest")
     cols = {seq_col: F.col("_tf_toff") + F.col("_tf_lseq"), count_col: F.col("_tf_tn")}
     for i, c in enumerate(running_sums):
         cols[f"cum_{c}"] = F.col(f"_tf_tboff_{i}") + F.col(f"cum_{c}")

@@ -97,11 +97,10 @@ def run_available_now(
 
 
 def _table_exists(spark: SparkSession, root: str) -> bool:
-    try:
-        spark.read.parquet(root).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001 - missing path is the normal first-batch case
-        return False
+    """Whether the folder exists. Only its absence means a first batch: any other error of the
+    store is raised, since an upsert that took it for absence would drop the old rows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def newest_wins_upsert(
