@@ -74,3 +74,24 @@ def test_gbt_fit_and_score(spark):
                                     ["x", "z"], n_rows=400, repeats=2)
     top = pi.orderBy("importance", ascending=False).first()
     assert top.feature == "x" and top.importance > 0.5
+
+
+def test_permutation_keeps_every_row_once_when_positions_repeat(spark):
+    from pyspark.sql import functions as F
+
+    from tickforge.operators.model import permutation_importance
+
+    seen = []
+
+    class Linear:
+        def transform(self, df):
+            if "repeat" in df.columns:
+                seen.append(df.groupBy("feature", "repeat").agg(F.count("*").alias("n"), F.countDistinct("_row").alias("rows"), F.sum("a").alias("a")).collect())
+            return df.withColumn("prediction", 2.0 * F.col("a"))
+
+    # Five groups, each with its own positions 0..39.
+    rows = [(i, float(i * 5 + g), float(g), 2.0 * (i * 5 + g)) for g in range(5) for i in range(40)]
+    sample = spark.createDataFrame(rows, "seq long, a double, b double, target_y double")
+    out = {r["feature"]: r["importance"] for r in permutation_importance(Linear(), sample, ["a", "b"], repeats=3).collect()}
+    assert all(r["n"] == r["rows"] == 200 and r["a"] == sum(x[1] for x in rows) for r in seen[0]) and len(seen[0]) == 6
+    assert out["b"] == 0 and 1 < out["a"] < 3  # a random order leaves R^2 near -1
