@@ -12,10 +12,13 @@ No group is ever expanded into its pairs. Equal shingle sets are first collapsed
 representative. In a round every member of a bucket is compared with the bucket's leaders (one in
 the first round, more later), unless both are of one class already; leaders then leave
 the bucket, and rounds go on with new leaders in the buckets that still hold members of different
-classes, until none does. Sets are left out that hold too many elements of no other candidate
-(no link could cover them), and pairs that cannot share enough for the same reason. So no link between different classes is missed, and a large group of
-copies is done after one round. Joins are on (band, key) with the few leaders on one side, so a
-hot bucket splits by its members.
+classes, until none does. A pair is compared only in the first bucket that it shares.
+Sets are left out that hold too many elements of no other candidate (no link could cover them),
+and pairs that cannot share enough: by the same counts, or because the parity prints of the two
+sets (a bit of ``PRINT_WORDS`` words flips for every element) differ in more bits than linked sets
+have elements apart. Both bounds are exact, so no link between different classes is missed, and a
+large group of copies is done after one round. Joins are on (band, key) with the few leaders on
+one side, so a hot bucket splits by its members.
 
 Defined cases: NULL text counts as empty; texts without words are equal if the texts are equal;
 a document's class is the smallest doc_id in it; rows that repeat a doc_id are one document each
@@ -38,6 +41,9 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
 #: Leaders a bucket in the second round, four times as many in each further one.
 LEADERS = 8
+#: 64-bit words of a set's parity print: the differing bits of two prints are at most the elements
+#: that only one of the sets has.
+PRINT_WORDS = 16
 # Words are runs of ASCII letters, digits and underscores and of all characters beyond ASCII.
 _IN_WORD = np.array([b >= 128 or chr(b).isalnum() or b == 95 for b in range(256)])
 # Darts in a cell of area one (Poisson), by twelve random bits.
@@ -133,8 +139,22 @@ def signed(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS, shingle_wor
     return map_texts(by_id(docs), run, "doc_id long, same binary, bands array<long>")
 
 
-def _sets(docs: DataFrame, shingle_words: int) -> DataFrame:
-    """rep, elements, counts of documents."""
+def parity_prints(sets: list[tuple[np.ndarray, np.ndarray]], weighted: bool = False) -> np.ndarray:
+    """A row of ``PRINT_WORDS`` words a set: each element (each unit of weight) flips one bit."""
+    elements = np.concatenate([s for s, _ in sets])
+    doc = np.repeat(np.arange(len(sets)), [len(s) for s, _ in sets])
+    if weighted:
+        counts = np.concatenate([c for _, c in sets])
+        first = np.cumsum(counts) - counts
+        level = np.arange(counts.sum()) - np.repeat(first, counts)
+        elements, doc = np.repeat(elements, counts) + mix(level.astype(np.uint64)), np.repeat(doc, counts)
+    bits = 64 * PRINT_WORDS
+    flips = np.bincount(doc * bits + (mix(elements) % np.uint64(bits)).astype(np.int64), minlength=len(sets) * bits)
+    return np.packbits((flips & 1).astype(np.uint8)).view(np.int64).reshape(len(sets), PRINT_WORDS)
+
+
+def _sets(docs: DataFrame, shingle_words: int, weighted: bool) -> DataFrame:
+    """rep, elements, counts, print of documents."""
     powers = Powers()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -142,19 +162,20 @@ def _sets(docs: DataFrame, shingle_words: int) -> DataFrame:
         ends = np.concatenate([[0], np.cumsum([len(s) for s, _ in sets])]).astype(np.int32)
         elements, counts = (np.concatenate(x) for x in zip(*sets))
         lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(a)) for a in (elements.view(np.int64), counts.astype(np.int32))]
-        return pa.RecordBatch.from_arrays([batch.column(0), *lists], ["rep", "elements", "counts"])
+        prints = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * PRINT_WORDS), pa.array(parity_prints(sets, weighted).ravel()))
+        return pa.RecordBatch.from_arrays([batch.column(0), *lists, prints], ["rep", "elements", "counts", "print"])
 
-    return map_texts(docs, run, "rep long, elements array<long>, counts array<int>")
+    return map_texts(docs, run, "rep long, elements array<long>, counts array<int>, print array<long>")
 
 
 def _measures(sets: DataFrame, similarity: float, weighted: bool) -> DataFrame:
-    """rep, size, shared (weight of the elements that some other set has too) of the sets that can
-    be linked at all: a link covers ``similarity`` of the set, and no lone element."""
+    """rep, size, print, shared (weight of the elements that some other set has too) of the sets
+    that can be linked at all: a link covers ``similarity`` of the set, and no lone element."""
     each = sets.select("rep", F.explode(F.arrays_zip("elements", "counts")).alias("x")).select("rep", F.col("x.elements").alias("element"), (F.col("x.counts") if weighted else F.lit(1)).cast("long").alias("weight"))
     lone = each.groupBy("element").agg(F.count("*").alias("n"), F.min("rep").alias("rep"), F.min("weight").alias("weight")).where("n = 1").groupBy("rep").agg(F.sum("weight").alias("lone"))
     size = F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x) if weighted else F.size("elements").cast("long")
-    sized = sets.select("rep", size.alias("size")).join(lone, "rep", "left")
-    sized = sized.select("rep", "size", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("shared"))
+    sized = sets.select("rep", "print", size.alias("size")).join(lone, "rep", "left")
+    sized = sized.select("rep", "size", "print", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("shared"))
     return sized.where(F.col("shared") >= similarity * F.col("size") - 1e-9)
 
 
@@ -195,22 +216,38 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, weighted: bo
     return met.where(shared >= similarity * (sizes[0] + sizes[1] - shared) - 1e-9).select("a", "b")
 
 
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``members`` with the label of their class."""
+    named = members.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
+    return named.withColumn("label", F.coalesce("label", "rep"))
+
+
+def _may_link(similarity: float) -> "F.Column":
+    """Whether a member and a leader can be as similar as that, by exact upper bounds."""
+    # What two sets share is at most what either shares with any other.
+    most = F.least("shared", "led_shared")
+    both = F.col("size") + F.col("led_size")
+    apart = sum((F.bit_count(F.get("print", F.lit(i)).bitwiseXOR(F.get("led_print", F.lit(i)))) for i in range(PRINT_WORDS)), F.lit(0))
+    return (most >= similarity * (both - most) - 1e-9) & (apart * (1 + similarity) <= (1 - similarity) * both + 1e-9)
+
+
 def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, shingle_words: int = SHINGLE_WORDS, weighted: bool = False) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of its class): one row a row of ``docs``."""
     marks = written(signed(docs, bands=bands, rows=rows, shingle_words=shingle_words, weighted=weighted), "near-signatures")
     # Equal sets: one representative (their smallest doc_id) goes on.
     reps = written(marks.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "near-representatives")
-    members = reps.where(F.col("rep").isNotNull()).select("rep", F.posexplode("bands").alias("band", "key"))
+    # ``earlier`` holds the keys of the bands before: a pair that shares one of them meets there.
+    members = reps.where(F.col("rep").isNotNull()).select("rep", "bands", F.posexplode("bands").alias("band", "key"))
+    members = members.select("rep", "band", "key", F.slice("bands", F.lit(1), F.col("band")).alias("earlier"))
     shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
     members = written(members.join(shared, ["band", "key"]), "near-members")
     wanted = by_id(docs).withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi")
     # A doc_id may repeat with other texts; only the text that was signed stands for a set.
-    sets = written(_sets(wanted, shingle_words).groupBy("rep").agg(F.first("elements").alias("elements"), F.first("counts").alias("counts")), "near-sets")
-
+    sets = written(_sets(wanted, shingle_words, weighted).groupBy("rep").agg(*[F.first(c).alias(c) for c in ("elements", "counts", "print")]), "near-sets")
     measures = written(_measures(sets, similarity, weighted), "near-measures")
     members = members.join(measures, "rep")
     shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
-    members = written(members.join(shared, ["band", "key"]), "near-members")
+    members = members.join(shared, ["band", "key"])
 
     # doc_ids that came with several texts, and equal sets, are links by themselves.
     links = marks.where(F.col("doc_id").isNotNull()).join(reps.select("same", "rep"), "same").where(F.col("doc_id") != F.col("rep"))
@@ -218,21 +255,15 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
     links = links.join(twice, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     links = written(links, "near-found")
     labels = components(links)
+    members = written(_labelled(members, labels), "near-members")
     lanes = 1
     while not members.isEmpty():
         # The leader is the member with the smallest share of lone elements: the most central one.
-        typical = F.struct((1 - F.col("shared") / F.col("size")).alias("lone"), F.col("rep").alias("led"), F.col("size").alias("led_size"), F.col("shared").alias("led_shared"))
+        typical = F.struct((1 - F.col("shared") / F.col("size")).alias("lone"), F.col("rep").alias("led"), *[F.col(c).alias(f"led_{c}") for c in ("size", "shared", "label", "print", "earlier")])
         leaders = members.groupBy("band", "key", F.pmod(F.xxhash64("rep"), F.lit(lanes)).alias("lane")).agg(F.min(typical).alias("x"))
-        leaders = written(leaders.select("band", "key", "x.led", "x.led_size", "x.led_shared"), "near-leaders")
-        other = labels.select(F.col("node").alias("led"), F.col("label").alias("led_label"))
-        mine = labels.select(F.col("node").alias("rep"), "label")
-        # What two sets share is at most what either shares with any other: most pairs of loosely
-        # alike documents end here, exactly.
-        most = F.least("shared", "led_shared")
-        can = most >= similarity * (F.col("size") + F.col("led_size") - most) - 1e-9
-        pairs = members.join(leaders, ["band", "key"]).where((F.col("rep") != F.col("led")) & can).select(F.least("rep", "led").alias("rep"), F.greatest("rep", "led").alias("led")).distinct()
-        pairs = pairs.join(other, "led", "left").join(mine, "rep", "left").where(F.coalesce("led_label", "led") != F.coalesce("label", "rep"))
-        pairs = written(pairs.select(F.col("rep").alias("a"), F.col("led").alias("b")), "near-pairs")
+        leaders = written(leaders.select("band", "key", *[f"x.led{c}" for c in ("", "_size", "_shared", "_label", "_print", "_earlier")]), "near-leaders")
+        pairs = members.join(leaders, ["band", "key"]).where((F.col("label") != F.col("led_label")) & _may_link(similarity) & ~F.arrays_overlap("earlier", "led_earlier"))
+        pairs = written(pairs.select(F.least("rep", "led").alias("a"), F.greatest("rep", "led").alias("b")).distinct(), "near-pairs")
         found = written(_verified(pairs, sets, similarity, weighted), "near-found")
         if not found.isEmpty():
             # A label stands for its class: links between labels carry the classes on.
@@ -241,8 +272,8 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
         # A leader has met every member of its bucket and leaves it. Buckets whose other members
         # are all of one class are done.
         rest = members.join(leaders.select("band", "key", F.col("led").alias("rep")), ["band", "key", "rep"], "left_anti")
-        named = rest.select("band", "key", "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        mixed = named.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
+        rest = written(_labelled(rest.drop("label"), labels), "near-members")
+        mixed = rest.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
         members = written(rest.join(mixed, ["band", "key"]), "near-members")
         lanes = max(LEADERS, 4 * lanes)
     names = reps.select("same", "rep").join(labels, F.col("rep") == F.col("node"), "left")
