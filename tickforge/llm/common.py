@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tickforge.session import scratch_dir
 
 #: Characters of text that one Python step holds at a time (a longer single text is one step).
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 400_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,8 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
             out = fn(piece)
             if out.num_rows:
                 yield out
+            # Freed buffers go back to the system: workers live on from stage to stage.
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

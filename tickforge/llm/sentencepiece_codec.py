@@ -151,7 +151,7 @@ class Codec:
     next: then only the words not met before go to the library, in batches on ``threads`` threads,
     and a text's ids are those of its words. ``cached_words`` bounds what is remembered."""
 
-    def __init__(self, data: bytes, threads: int = 2, cached_words: int = 400_000):
+    def __init__(self, data: bytes, threads: int = 2, cached_words: int = 50_000):
         import os
 
         from tokenizers import normalizers
