@@ -12,15 +12,14 @@ from tickforge.sources.tapes import EVENTS_ORDER, tape_events
 
 _EDGES = "[" + ", ".join(str(i / 10) for i in range(11)) + "]"
 
-# Positional drift samples of the events tape: price halves, quantity first/last 1000 rows.
+# Positional drift samples of the events tape: first and second half, for both features.
 _SAMPLES = (
     with_tapes(E_TAPE)
     + """
 , s AS (SELECT *, row_number() OVER (ORDER BY "timestamp", trade_id) - 1 AS seq, count(*) OVER () AS n FROM e),
 smp AS (
   SELECT 'price' AS feature, CASE WHEN seq < n // 2 THEN 'ref' ELSE 'cur' END AS sample, price AS value FROM s
-  UNION ALL SELECT 'quantity', 'ref', quantity FROM s WHERE seq < 1000
-  UNION ALL SELECT 'quantity', 'cur', quantity FROM s WHERE seq >= n - 1000)"""
+  UNION ALL SELECT 'quantity', CASE WHEN seq < n // 2 THEN 'ref' ELSE 'cur' END, quantity FROM s)"""
 )
 
 _HIST = f"""
@@ -63,7 +62,7 @@ _REPORT = """
 
 
 def _samples(spark, sf):
-    return drift.positional_drift_samples(tape_events(spark, sf), EVENTS_ORDER)
+    return drift.positional_drift_samples(tape_events(spark, sf), EVENTS_ORDER, half_features=("price", "quantity"), head_tail_features=())
 
 
 @register("histogram_bins", "A7 A8", _SAMPLES + _HIST + "\nSELECT * FROM hist")
@@ -185,6 +184,8 @@ def q_drift_request_check(spark, sf):
 
 @register("ks_pvalue_exact", "T3")
 def q_ks_pvalue_exact(spark, sf):
-    """Small-sample exact p-value (the automatic choice: exact up to 10,000 values per sample).
+    """Exact p-value on the first and last rows (W18, the sampling operator's default size): its
+    lattice has a point a pair of sample sizes, so the formula is for samples, not for tables.
     No SQL oracle; the lattice count is tested against brute-force enumeration."""
-    return drift.ks_test(_samples(spark, sf), method="auto").select("feature", "ks_stat", "ks_pval", "n_ref", "n_cur")
+    samples = drift.positional_drift_samples(tape_events(spark, sf), EVENTS_ORDER, half_features=(), head_tail_features=("price", "quantity"))
+    return drift.ks_test(samples, method="exact").select("feature", "ks_stat", "ks_pval", "n_ref", "n_cur")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickforge.operators import features as feat
 from tickforge.operators import silver
-from tickforge.plans.q_features import GOLD_SUBSET, _gold_sql
+from tickforge.plans.q_features import gold_all, gold_sql
 from tickforge.plans.registry import register
 from tickforge.plans.rounding import fround, sql_fround
 from tickforge.plans.sql_tapes import E_TAPE, with_tapes
@@ -101,13 +101,13 @@ def q_silver_write_read_prune(spark, sf):
     return back.select(*TRADE_COLS, "partition_date")
 
 
-@register("gold_write_read", "K3 S7 F1", _gold_sql("PARTITION BY ds", "ds"))
+@register("gold_write_read", "K3 S7 F1", gold_sql("ds"))
 def q_gold_write_read(spark, sf):
     root = scratch_dir(spark, "gold")
     g = feat.gold_features(tape_events(spark, sf), group_cols=["ds"], order_cols=EVENTS_ORDER)
     sinks.write_partitions(g, root, "ds")
     back = files.read_partition(spark, root)
-    return back.select("trade_id", "symbol", *[fround(c, d).alias(c) if d else F.col(c) for c, d in GOLD_SUBSET])
+    return gold_all(back)
 
 
 @register(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickforge.plans.q_bars import _bar_sql
-from tickforge.plans.q_features import GOLD_SUBSET, _gold_sql
+from tickforge.plans.q_features import gold_all, gold_sql
 from tickforge.plans.registry import register
 from tickforge.plans.rounding import fround, sql_fround
 from tickforge.plans.sql_tapes import E_TAPE, L_TAPE, with_tapes
@@ -50,12 +50,12 @@ sv AS (SELECT * EXCLUDE (rn) FROM (
 @register(
     "stream_gold",
     "U3 F1 K7",
-    "SELECT * EXCLUDE (symbol) FROM (" + _gold_sql("PARTITION BY ds", "ds", pre=_SILVER_E, src="sv") + ")",
+    "SELECT * EXCLUDE (symbol) FROM (" + gold_sql("ds", pre=_SILVER_E, src="sv") + ")",
 )
 def q_stream_gold(spark, sf):
     tape = events_to_tape(streams.read_table_stream(spark, sf, "events"))
     g = streams.stream_gold_table(spark, tape)
-    return g.select("trade_id", *[fround(c, d).alias(c) if d else F.col(c) for c, d in GOLD_SUBSET])
+    return gold_all(g, ["trade_id"])
 
 
 @register(
