@@ -206,7 +206,7 @@ KS_EXACT_MAX_N = 10_000
 def _exact_udf():
     @F.pandas_udf("double")
     def exact(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-        return pd.Series([ks_exact_pvalue(float(a), int(b), int(c)) for a, b, c in zip(d, n, m)])
+        return pd.Series([None if pd.isna(a) else ks_exact_pvalue(float(a), int(b), int(c)) for a, b, c in zip(d, n, m)], dtype="float64")
 
     return exact
 
@@ -230,10 +230,29 @@ def ks_pvalue(d: Column, n: Column, m: Column, method: str = "asymptotic") -> Co
     if method == "exact":
         return exact
     if method == "auto":
-        return F.when(F.greatest(n, m) <= KS_EXACT_MAX_N, exact).otherwise(asym)
+        return F.coalesce(ks_small_exact(d, n, m), asym)
     raise ValueError(f"method must be 'asymptotic', 'exact' or 'auto', got {method!r}")
 
 
+def ks_small_exact(d: Column, n: Column, m: Column, max_n: int = KS_EXACT_MAX_N) -> Column:
+    """Exact p-value where both whole samples have at most ``max_n`` values, else NULL. A UDF is
+    evaluated for every row, whatever condition stands around it: larger ones reach it as NULL."""
+    return _exact_udf()(F.when(F.greatest(n, m) <= max_n, d), n, m)
+
+
+def ks_test_exact(samples: DataFrame, max_n: int = KS_EXACT_MAX_N, **seq_kw) -> DataFrame:
+    """T2 + T3 over whole samples: (feature, ks_stat, ks_pval_exact, ks_pval_asymptotic, n_ref,
+    n_cur). ``ks_pval_exact`` is NULL where a sample has more than ``max_n`` values, the series is
+    given for all. The features are dealt over the tasks, since each exact value costs n_ref * n_cur."""
+    stats = ks_statistic(samples, **seq_kw)
+    parts = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d, n, m = F.col("ks_stat"), F.col("n_ref"), F.col("n_cur")
+    return stats.repartition(parts, FEATURE).select(
+        FEATURE, "ks_stat", ks_small_exact(d, n, m, max_n).alias("ks_pval_exact"),
+        ks_pvalue_expr(d, n, m).alias("ks_pval_asymptotic"), "n_ref", "n_cur",
+    )
+
+
 def drift_table(samples: DataFrame, method: str = "asymptotic", **seq_kw) -> DataFrame:
     """T1-T3 per feature in one pass: (feature, psi, ks_stat, ks_pval, n_ref, n_cur)."""
     stats = drift_statistics(samples, **seq_kw)[1]

@@ -184,8 +184,15 @@ def q_drift_request_check(spark, sf):
 
 @register("ks_pvalue_exact", "T3")
 def q_ks_pvalue_exact(spark, sf):
-    """Exact p-value on the first and last rows (W18, the sampling operator's default size): its
-    lattice has a point a pair of sample sizes, so the formula is for samples, not for tables.
+    """First against second half of every row: of the whole table (scope ``table``), and of each
+    symbol's day (scope ``symbol_day``). The exact p-value is given where both halves are small
+    enough for its lattice, which has a point a pair of sample sizes; the series for all.
     No SQL oracle; the lattice count is tested against brute-force enumeration."""
-    samples = drift.positional_drift_samples(tape_events(spark, sf), EVENTS_ORDER, half_features=(), head_tail_features=("price", "quantity"))
-    return drift.ks_test(samples, method="exact").select("feature", "ks_stat", "ks_pval", "n_ref", "n_cur")
+    tape, parts = tape_events(spark, sf), []
+    for scope, groups in (("table", []), ("symbol_day", ["symbol", "ds"])):
+        s = drift.positional_drift_samples(tape, EVENTS_ORDER, half_features=("price", "quantity"), head_tail_features=(), group_cols=groups)
+        key = F.struct(F.lit(scope).alias("scope"), "feature", *groups)
+        parts.append(s.select(F.to_json(key).alias("feature"), "sample", "value"))
+    key = F.from_json("feature", "scope string, feature string, symbol string, ds string")
+    out = drift.ks_test_exact(parts[0].unionByName(parts[1])).withColumn("key", key)
+    return out.select("key.*", "ks_stat", "ks_pval_exact", "ks_pval_asymptotic", "n_ref", "n_cur")
