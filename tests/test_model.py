@@ -95,3 +95,24 @@ def test_permutation_keeps_every_row_once_when_positions_repeat(spark):
     out = {r["feature"]: r["importance"] for r in permutation_importance(Linear(), sample, ["a", "b"], repeats=3).collect()}
     assert all(r["n"] == r["rows"] == 200 and r["a"] == sum(x[1] for x in rows) for r in seen[0]) and len(seen[0]) == 6
     assert out["b"] == 0 and 1 < out["a"] < 3  # a random order leaves R^2 near -1
+
+
+def test_permutation_scores_the_whole_sample(spark):
+    """A feature that matters only beyond the first 1,000 positions of each group."""
+    from pyspark.sql import functions as F
+
+    seen = []
+
+    class Linear:
+        def transform(self, df):
+            seen.append(df)
+            return df.withColumn("prediction", F.col("a") + F.col("late"))
+
+    rows = [(i, float(i % 7), float(i % 11) if i >= 1000 else 0.0) for _ in range(2) for i in range(1500)]  # rows repeat, too
+    sample = spark.createDataFrame(rows, "seq long, a double, late double").withColumn("target_y", F.col("a") + F.col("late"))
+    out = {r["feature"]: r["importance"] for r in mdl.permutation_importance(Linear(), sample, ["a", "late"]).collect()}
+    assert out["late"] > 0.5 and out["a"] > 0.1
+    perm = seen[-1].groupBy("feature", "repeat").agg(F.count("*").alias("n"), F.countDistinct("_row").alias("rows"), F.sum("late").alias("s")).collect()
+    assert len(perm) == 6 and all((r["n"], r["rows"], r["s"]) == (3000, 3000, sum(x[2] for x in rows)) for r in perm)
+    orders = {tuple(r["late"] for r in seen[-1].where(f"feature = 'late' AND repeat = {k}").orderBy("_row").collect()) for k in range(3)}
+    assert len(orders) == 3  # another order each time

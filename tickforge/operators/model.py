@@ -20,13 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge.functions.columns import code_trunc, code_u8
-from tickforge.operators.sequence import approx_quantiles, drop_helpers, exact_quantiles, with_sequence
+from tickforge.operators.sequence import approx_quantiles, content_hash, drop_helpers, exact_quantiles, with_sequence
 
 # Transform knots, model hyper-parameters, pruning and promotion defaults.
 MAX_KNOTS = 1000
 GBT_PARAMS = {"maxIter": 150, "stepSize": 0.08, "maxDepth": 5, "minInstancesPerNode": 20, "maxBins": 256, "seed": 42}
 MIN_TRAIN_ROWS = 50
-PERM_ROWS = 1000
 PERM_REPEATS = 3
 PRUNE_SHARE_OF_MAX = 0.01
 PRUNE_FALLBACK_TOP = 15
@@ -217,29 +216,30 @@ def permutation_importance(
     *,
     label: str = "target_y",
     seq_col: str = "seq",
-    n_rows: int = PERM_ROWS,
+    n_rows: int | None = None,
     repeats: int = PERM_REPEATS,
     seed: int = 42,
 ) -> DataFrame:
-    """M6: R^2 drop when one feature is shuffled, mean over ``repeats``; first ``n_rows`` rows by
-    position. All (feature, repeat) permutations in one job: the sample is exploded, each copy
-    ranks rows by a seeded hash, takes the feature value of the row at its rank (equi-join on
-    (feature, rank)), and one ``model.transform`` scores everything; R^2 per (feature, repeat).
-    Returns (feature, importance)."""
+    """M6: R^2 drop when one feature is shuffled, mean over ``repeats``; all rows of ``sample``
+    (``n_rows``: only the first positions). Rows are numbered in buckets of a content hash. In each
+    repeat they are numbered again by a seeded hash, and the row at position i lends its values to
+    row i: one join, whose rows are then exploded by feature, scored and aggregated to one R^2 a
+    (feature, repeat) without another exchange of rows. Returns (feature, importance)."""
     feats = list(feature_cols)
+    rows = sample if n_rows is None else sample.where(F.col(seq_col) < n_rows)
     # Positions may repeat (one sequence a group): number the rows of the sample themselves.
-    base = sample.where(F.col(seq_col) < n_rows).select(seq_col, label, *feats)
-    numbered = Window.orderBy(F.col(seq_col), F.xxhash64(F.col(label), *feats), F.col(label), *feats)
-    base = base.withColumn("_row", F.row_number().over(numbered) - 1).checkpoint()
-    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in feats)
-    values = base.selectExpr("_row AS _src", f"stack({len(feats)}, {stack}) AS (feature, _pv)")
-    copies = base.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn(
-        "feature", F.explode(F.array(*[F.lit(c) for c in feats]))
-    )
-    order = F.xxhash64(F.col("_row"), F.col("feature"), F.col("repeat"), F.lit(seed))
-    ranks = copies.withColumn("_src", F.row_number().over(Window.partitionBy("feature", "repeat").orderBy(order, "_row")) - 1)
-    perm = ranks.join(values, ["feature", "_src"])
-    perm = perm.withColumns({c: F.when(F.col("feature") == c, F.col("_pv")).otherwise(F.col(c)) for c in feats})
+    rows = rows.withColumn("_hash", content_hash(rows, rows.columns)).select("_hash", label, *feats)
+    base = drop_helpers(with_sequence(rows, ["_hash"], seq_col="_row")).drop("n_group", "_hash").checkpoint()
+    lent = base.select(
+        F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"), F.col("_row").alias("_src"),
+        *[F.col(c).cast("double").alias(f"_lent_{i}") for i, c in enumerate(feats)],
+    ).withColumn("_hash", F.xxhash64("_src", "repeat", F.lit(seed)))
+    lent = drop_helpers(with_sequence(lent, ["_hash", "_src"], ["repeat"], seq_col="_row")).drop("n_group", "_hash", "_src")
+    perm = base.join(lent, "_row").withColumn("feature", F.explode(F.array(*[F.lit(c) for c in feats])))
+    perm = perm.select(
+        "_row", "repeat", "feature", label,
+        *[F.when(F.col("feature") == c, F.col(f"_lent_{i}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(feats)],
+    )
     base_r2 = _r2(model.transform(base), label).first()[0]
     per_copy = _r2(model.transform(perm), label, ["feature", "repeat"])
     return per_copy.groupBy("feature").agg((F.lit(base_r2) - F.avg("r2")).alias("importance"))
