@@ -182,6 +182,30 @@ def test_redaction_leaves_no_base_span(make_docs):
     assert {r["doc_id"]: r["text"] for r in out}[0] == ""
 
 
+def test_every_run_of_twelve_is_a_candidate(make_docs):
+    mixed = "ghp_Zk9QmW2deadbeef01234567XyLq8RtV"  # holds a hex run
+    for run in ["k9Xp2LmQ7vRt1", "abcdqwertzuiopas", "QWERTZUIOPASDFGHJKLYXCVB", mixed]:
+        text = f"a {run} b"
+        assert secret_scan.candidates(text, secret_scan.base_spans(text)) == [(2, 2 + len(run))]
+    assert not secret_scan.candidates("elevenchars", [])
+    text = "token=abcdefghijklm"
+    assert not secret_scan.candidates(text, secret_scan.base_spans(text))  # nothing beyond the span
+
+    rng = random.Random(6)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["ghp_" + "".join(rng.choices(signs, k=31)) for _ in range(200)]
+    words = ["".join(rng.choices(["the", "ing", "tion", "er", "an", "lich"], k=5)) for _ in range(400)]
+    loud = [w.upper() for w in words[:60]]
+    docs = [f"{w} {u} token={k}" for w, u, k in zip(words, loud * 4, keys)] + [f"key {mixed}.", " ".join(words[200:]), " ".join(loud)]
+    scanned = secret_scan.scan(make_docs([*enumerate(docs)]))
+    formats = secret_scan.train(scanned)
+    out = {r["doc_id"]: r for r in secret_scan.label(scanned, formats).collect()}
+    assert out[200]["spans"] == "format:4:40,hex:14:31" and out[200]["n_format"] == 1
+    assert secret_scan.redact_text(docs[200], formats) == "key [secret]"
+    assert not any(r["n_format"] for i, r in out.items() if i != 200)  # words, also in capitals, stay
+    assert secret_scan.redact_text(docs[202], formats) == docs[202]
+
+
 # -- quality ---------------------------------------------------------------------------------
 
 

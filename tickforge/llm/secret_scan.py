@@ -5,9 +5,10 @@ every other candidate token. The values of the base spans are labelled credentia
 sample of them (``sample_values`` a kind, chosen by hash) trains one probabilistic automaton a
 kind by grammar inference: a prefix tree of the character-class strings is built and states whose
 outgoing frequencies are statistically compatible (Hoeffding bound) are merged with their
-subtrees. A second automaton learns ordinary tokens in the same way. Every candidate is then
-scored; those that a credential format explains better by ``margin`` bits a character become
-further spans (kind ``format``). Base spans always stay.
+subtrees. A second automaton learns ordinary tokens (runs apart from the base spans) in the same
+way and keeps words from being taken for keys. Every candidate is then scored on its whole value;
+those that a credential format explains better by ``margin`` bits a character, and no worse than a
+uniform choice of characters would, become further spans (kind ``format``). Base spans always stay.
 
 Defined cases: NULL text counts as empty; a document without spans has an empty list and the
 SHA-256 of the empty string; repeated rows are scanned each; positions are code points with
@@ -30,16 +31,15 @@ from tickforge.llm.common import by_id, hash_below, map_texts, texts_of
 KINDS = ("assign", "access", "hex")
 SAMPLE_VALUES = 2_000
 MARGIN_BITS = 1.0
-#: Candidates are runs of these at least as long as a base value.
-LEAST = 16
+#: Candidates are token runs at least as long as the shortest base value.
+LEAST = 12
 
 _ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
+_SMALL = re.compile(r"[a-z]")
 _KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
-# A candidate may differ from a word only by a digit or a case change inside it.
-_MIXED = re.compile(r"[0-9]|[a-z][A-Z]")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -55,16 +55,18 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def candidates(text: str, base: list[tuple[str, int, int, str]]) -> list[tuple[int, int]]:
-    """Token runs outside the base spans that do not look like plain words."""
+    """Whole token runs, also around or across base spans; a run inside one adds nothing to it."""
     out = []
     for m in _CANDIDATE.finditer(text):
-        if _MIXED.search(m[0]) and not any(a < m.end() and m.start() < b for _, a, b, _ in base):
+        if not any(a <= m.start() and m.end() <= b for _, a, b, _ in base):
             out.append((m.start(), m.end()))
     return out
 
 
 # Character classes in which automata read: digits, hex letters, other letters, each sign.
 _CLASS = {**dict.fromkeys("0123456789", "d"), **dict.fromkeys("abcdef", "x"), **dict.fromkeys("ghijklmnopqrstuvwxyz", "l"), **dict.fromkeys("ABCDEF", "X"), **dict.fromkeys("GHIJKLMNOPQRSTUVWXYZ", "U")}
+#: Bits a character of a uniform choice among the characters of a candidate.
+UNIFORM_BITS = math.log2(26 + 26 + 10 + 6)
 _SIZE = {"d": 10, "x": 6, "l": 20, "X": 6, "U": 20}
 
 
@@ -158,18 +160,22 @@ class Automaton:
 
 
 class Formats:
-    """The automata of all kinds and the one of ordinary tokens."""
+    """The automata of all kinds and those of ordinary tokens: words, and tokens without small
+    letters, which are too few among the others to be learned with them."""
 
     def __init__(self, labelled: dict[str, list[str]], ordinary: list[str]):
         self.kinds = {k: Automaton(v) for k, v in labelled.items() if v}
         # Without ordinary tokens the alternative is a uniform choice of characters.
-        self.plain = Automaton(ordinary) if ordinary else None
+        parts = [v for v in ordinary if _SMALL.search(v)], [v for v in ordinary if not _SMALL.search(v)]
+        self.plain = [Automaton(p) for p in parts if p]
 
     def likely(self, value: str, margin: float = MARGIN_BITS) -> bool:
         if not self.kinds:
             return False
-        plain = self.plain.bits(value) if self.plain else 6.0
-        return min(a.bits(value) for a in self.kinds.values()) + margin <= plain
+        plain = min((a.bits(value) for a in self.plain), default=6.0)
+        # Of two models that both do not know a token (a word in capitals), none explains it.
+        best = min(a.bits(value) for a in self.kinds.values())
+        return best <= UNIFORM_BITS and best + margin <= plain
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -193,19 +199,21 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def train(scanned: DataFrame, *, sample_values: int = SAMPLE_VALUES) -> Formats:
     """Automata from at most about ``sample_values`` distinct values a kind and as many ordinary
-    tokens, of a table made by :func:`scan`."""
+    tokens with and without small letters, of a table made by :func:`scan`."""
     values = scanned.select(F.explode("base").alias("s")).select("s.kind", "s.value").distinct()
-    plain = scanned.select(F.explode("more").alias("s")).select(F.lit("plain").alias("kind"), "s.value").distinct()
+    # A run that overlaps a base span is no ordinary token.
+    apart = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    plain = scanned.select(F.explode(apart).alias("s")).select(F.when(F.col("s.value").rlike("[a-z]"), "plain").otherwise("capitals").alias("kind"), "s.value").distinct()
     both = values.unionByName(plain)
     counts = {r["kind"]: r["n"] for r in both.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Formats({}, [])
     share = F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, sample_values / n)))))
     picked = both.where(hash_below(F.col("value"), share[F.col("kind")], "secrets"))
-    by: dict[str, list[str]] = {k: [] for k in (*KINDS, "plain")}
+    by: dict[str, list[str]] = {k: [] for k in (*KINDS, "plain", "capitals")}
     for r in picked.select("kind", F.substring("value", 1, 256).alias("value")).collect():
         by[r["kind"]].append(r["value"])
-    return Formats({k: by[k] for k in KINDS}, by["plain"])
+    return Formats({k: by[k] for k in KINDS}, by["plain"] + by["capitals"])
 
 
 def label(scanned: DataFrame, formats: Formats, *, margin: float = MARGIN_BITS) -> DataFrame:
