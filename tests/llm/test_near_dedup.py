@@ -90,6 +90,24 @@ def test_one_id_with_two_texts_links_their_classes(make_docs):
     assert classes(near_duplicates(make_docs([(1, a), (2, a), (2, b), (3, b)]))) == [(1, 1), (2, 1), (2, 1), (3, 1)]
 
 
+def test_every_text_of_an_id_is_verified(make_docs):
+    """Near copies of either text of a doc_id, whichever row comes first."""
+    a, b = [["%s%d" % (x, i) for i in range(60)] for x in "ab"]
+    near_a, near_b = [" ".join([*x[:-1], "z"]) for x in (a, b)]
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, near_a), (6, near_b), (8, " ".join(b)), (9, "alone"), (3, "other one"), (4, "other one")]
+    for order in (rows, rows[::-1], [rows[1], rows[0], *rows[2:]]):
+        assert set(classes(near_duplicates(make_docs(order)))) == {(5, 5), (6, 5), (7, 5), (8, 5), (9, 9), (3, 3), (4, 3)}
+    # an id that is the smallest of neither text still links both
+    assert set(classes(near_duplicates(make_docs([(1, near_a), (9, " ".join(a)), (9, " ".join(b)), (2, near_b)])))) == {(1, 1), (9, 1), (2, 1)}
+
+
+def test_copies_without_an_id_do_not_stay(make_docs):
+    rows = [(1, "a b c d e f"), (None, "a b c d e f"), (None, "A b c d e f"), (None, "lone text"), (None, "Lone, text"), (None, None), (None, "")]
+    out = keep_first(make_docs(rows).selectExpr("*", "1 AS _same"))
+    kept = [(r["doc_id"], (r["text"] or "").lower().replace(",", "")) for r in out.collect()]
+    assert sorted(kept, key=str) == sorted([(1, "a b c d e f"), (None, "lone text"), (None, "")], key=str)
+
+
 def test_whole_table(spark):
     docs = table(spark, TABLES, "documents")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]

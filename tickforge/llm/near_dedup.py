@@ -34,8 +34,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickforge.llm.common import Powers, by_id, map_texts, mix, texts_of, written
+from tickforge.operators.sequence import content_hash
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
@@ -44,6 +46,8 @@ LEADERS = 8
 #: 64-bit words of a set's parity print: the differing bits of two prints are at most the elements
 #: that only one of the sets has.
 PRINT_WORDS = 16
+#: Lanes of the join that names large classes.
+SALTS = 16
 # Words are runs of ASCII letters, digits and underscores and of all characters beyond ASCII.
 _IN_WORD = np.array([b >= 128 or chr(b).isalnum() or b == 95 for b in range(256)])
 # Darts in a cell of area one (Poisson), by twelve random bits.
@@ -121,6 +125,11 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], coordinates: int, weig
     return out
 
 
+def digests(sets: list[tuple[np.ndarray, np.ndarray]], weighted: bool = False) -> list[bytes]:
+    """What tells sets apart."""
+    return [hashlib.blake2b(s.tobytes() + (c.tobytes() if weighted else b""), digest_size=16).digest() for s, c in sets]
+
+
 def signed(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS, shingle_words: int = SHINGLE_WORDS, weighted: bool = False) -> DataFrame:
     """doc_id, same (digest of the shingle set), bands (a hash a band)."""
     powers = Powers()
@@ -132,7 +141,7 @@ def signed(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS, shingle_wor
         with np.errstate(over="ignore"):
             for r in range(rows):
                 key = mix(key * np.uint64(31) + sig[:, :, r] + np.uint64(r + 1))
-        same = [hashlib.blake2b(s.tobytes() + (c.tobytes() if weighted else b""), digest_size=16).digest() for s, c in sets]
+        same = digests(sets, weighted)
         keys = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), pa.array(key.view(np.int64).ravel()))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), keys], ["doc_id", "same", "bands"])
 
@@ -154,7 +163,7 @@ def parity_prints(sets: list[tuple[np.ndarray, np.ndarray]], weighted: bool = Fa
 
 
 def _sets(docs: DataFrame, shingle_words: int, weighted: bool) -> DataFrame:
-    """rep, elements, counts, print of documents."""
+    """same, elements, counts, print of documents."""
     powers = Powers()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -163,9 +172,9 @@ def _sets(docs: DataFrame, shingle_words: int, weighted: bool) -> DataFrame:
         elements, counts = (np.concatenate(x) for x in zip(*sets))
         lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(a)) for a in (elements.view(np.int64), counts.astype(np.int32))]
         prints = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * PRINT_WORDS), pa.array(parity_prints(sets, weighted).ravel()))
-        return pa.RecordBatch.from_arrays([batch.column(0), *lists, prints], ["rep", "elements", "counts", "print"])
+        return pa.RecordBatch.from_arrays([pa.array(digests(sets, weighted), pa.binary()), *lists, prints], ["same", "elements", "counts", "print"])
 
-    return map_texts(docs, run, "rep long, elements array<long>, counts array<int>, print array<long>")
+    return map_texts(docs, run, "same binary, elements array<long>, counts array<int>, print array<long>")
 
 
 def _measures(sets: DataFrame, similarity: float, weighted: bool) -> DataFrame:
@@ -231,28 +240,39 @@ def _may_link(similarity: float) -> "F.Column":
     return (most >= similarity * (both - most) - 1e-9) & (apart * (1 + similarity) <= (1 - similarity) * both + 1e-9)
 
 
-def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, shingle_words: int = SHINGLE_WORDS, weighted: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of its class): one row a row of ``docs``."""
+    marks, names = _classes(docs, **how)
+    return marks.select("doc_id", "same").join(names, "same").select("doc_id", "class_id")
+
+
+def _classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, shingle_words: int = SHINGLE_WORDS, weighted: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The signed documents, and same, class_id of every set."""
     marks = written(signed(docs, bands=bands, rows=rows, shingle_words=shingle_words, weighted=weighted), "near-signatures")
-    # Equal sets: one representative (their smallest doc_id) goes on.
-    reps = written(marks.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "near-representatives")
+    # Equal sets go on as one node (rep), numbered once for all by this write: a doc_id that comes
+    # with several texts has several nodes.
+    reps = marks.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
+    reps = written(reps.withColumn("rep", F.monotonically_increasing_id()), "near-representatives")
     # ``earlier`` holds the keys of the bands before: a pair that shares one of them meets there.
-    members = reps.where(F.col("rep").isNotNull()).select("rep", "bands", F.posexplode("bands").alias("band", "key"))
+    members = reps.where(F.col("id").isNotNull()).select("rep", "bands", F.posexplode("bands").alias("band", "key"))
     members = members.select("rep", "band", "key", F.slice("bands", F.lit(1), F.col("band")).alias("earlier"))
     shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
     members = written(members.join(shared, ["band", "key"]), "near-members")
-    wanted = by_id(docs).withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi")
-    # A doc_id may repeat with other texts; only the text that was signed stands for a set.
-    sets = written(_sets(wanted, shingle_words, weighted).groupBy("rep").agg(*[F.first(c).alias(c) for c in ("elements", "counts", "print")]), "near-sets")
+    met = reps.select("same", "id", "rep").join(members.select("rep").distinct(), "rep", "left_semi")
+    wanted = by_id(docs).join(met.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # All texts of these doc_ids; the digest tells which set each of them is.
+    sets = _sets(wanted, shingle_words, weighted).groupBy("same").agg(*[F.first(c).alias(c) for c in ("elements", "counts", "print")])
+    sets = written(sets.join(met.select("same", "rep"), "same").drop("same"), "near-sets")
     measures = written(_measures(sets, similarity, weighted), "near-measures")
     members = members.join(measures, "rep")
     shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
     members = members.join(shared, ["band", "key"])
 
-    # doc_ids that came with several texts, and equal sets, are links by themselves.
-    links = marks.where(F.col("doc_id").isNotNull()).join(reps.select("same", "rep"), "same").where(F.col("doc_id") != F.col("rep"))
-    twice = marks.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
-    links = links.join(twice, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # The sets of a doc_id that came with several texts are links by themselves.
+    texts = marks.where(F.col("doc_id").isNotNull()).select("doc_id", "same").distinct()
+    twice = texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    texts = texts.join(twice, "doc_id", "left_semi").join(reps.select("same", "rep"), "same").select("doc_id", "rep")
+    links = texts.join(texts.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b"))
     links = written(links, "near-found")
     labels = components(links)
     members = written(_labelled(members, labels), "near-members")
@@ -276,13 +296,35 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY, bands: i
         mixed = rest.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
         members = written(rest.join(mixed, ["band", "key"]), "near-members")
         lanes = max(LEADERS, 4 * lanes)
-    names = reps.select("same", "rep").join(labels, F.col("rep") == F.col("node"), "left")
-    names = names.select("same", F.coalesce("label", "rep").alias("class_id"))
-    return marks.select("doc_id", "same").join(names, "same").select("doc_id", "class_id")
+    # From nodes to doc_ids: the smallest of a class, brought to its sets by a salted join.
+    named = _labelled(reps.select("same", "id", "rep"), labels)
+    least = named.groupBy("label").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = named.withColumn("salt", F.pmod(F.xxhash64("same"), F.lit(SALTS)).cast("int")).join(least, ["label", "salt"], "left")
+    return marks, named.select("same", F.coalesce("least", "id").alias("class_id"))
 
 
 def keep_first(docs: DataFrame, **how) -> DataFrame:
-    """The documents (all their columns) whose id names their class; NULL ids stay."""
-    classes = near_duplicates(docs, **how)
+    """The documents (all their columns) whose id names their class, each of its rows. A document
+    with a NULL id stays if no document with an id has its set, one row (by hash) a set."""
+    marks, names = _classes(docs, **how)
+    classes = marks.select("doc_id", "same").join(names, "same")
     gone = written(classes.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("gone")).distinct(), "near-gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    own = docs["doc_id"].cast("long")
+    kept = docs.join(gone, own == gone["gone"], "left_anti").where(own.isNotNull())
+    lost = _with_digest(docs.where(own.isNull()), how.get("shingle_words", SHINGLE_WORDS), how.get("weighted", False))
+    lost = lost.groupBy("_same").agg(F.min_by("_row", "_hash").alias("_row"))
+    known = names.where(F.col("class_id").isNotNull()).select(F.col("same").alias("_same"))
+    return kept.unionByName(lost.join(known, "_same", "left_anti").select("_row.*"))
+
+
+def _with_digest(docs: DataFrame, shingle_words: int, weighted: bool) -> DataFrame:
+    """text, _row (the whole row), _hash (of its content), _same (the digest of its set)."""
+    powers = Powers()
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("_row"), content_hash(docs, docs.columns).alias("_hash"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        same = digests(shingle_sets(texts_of(batch), powers, shingle_words), weighted)
+        return batch.append_column("_same", pa.array(same, pa.binary()))
+
+    return map_texts(rows, run, T.StructType([*rows.schema.fields, T.StructField("_same", T.BinaryType())]))
