@@ -68,14 +68,14 @@ def test_blocks_are_skipped_and_results_whole():
         raw, size = lexical.pack(np.stack([steps, tf - 1], axis=1).ravel())
         at = np.concatenate([[0], np.cumsum(size.reshape(-1, 2).sum(axis=1))])[heads]
         last = places[np.append(heads[1:], len(places)) - 1]
-        lists.append((lexical.PostingList(times, int(impact.max()), last, np.maximum.reduceat(impact, heads), at, raw.tobytes()), places, times * impact))
+        lists.append((lexical.PostingList(times, int(impact.max()), lexical.Postings(len(places), last, np.maximum.reduceat(impact, heads), at, raw.tobytes())), places, times * impact))
     total = np.zeros(len(norm), dtype=np.int64)
     for _, places, scores in lists:
         total[places] += scores
     places, scores = lexical.max_score([x for x, _, _ in lists], norm)
     best = sorted(zip(-total, range(len(total))))[:20]
     assert sorted(zip(-scores, places))[:20] == best and (total[places] == scores).all()
-    read, whole = sum(x.read for x, _, _ in lists[:3]), sum(len(x.at) for x, _, _ in lists[:3])
+    read, whole = (sum(f(x.postings.have) for x, _, _ in lists[:3]) for f in (sum, len))
     assert read < whole / 2
 
 

@@ -224,47 +224,60 @@ def build_index(documents: DataFrame, *, shard_chars: int = SHARD_CHARS) -> Inde
     return Index(written(docs.mapInArrow(run, _INDEX), "lexical-index"), n_docs, n_terms)
 
 
-class PostingList:
-    """One term's list in a shard: its bound, block maxima, and postings on demand."""
-
-    def __init__(self, times: int, top: int, last: np.ndarray, tops: np.ndarray, at: np.ndarray, data: bytes):
-        self.weight, self.bound = times, times * top
-        self.last, self.tops, self.at = last, tops, at
-        self.raw = np.frombuffer(data, dtype=np.uint8)
-        self.read = 0  # blocks decompressed so far
-
-    def blocks(self, which: np.ndarray, norm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and scores of the postings in the blocks ``which`` (rising)."""
-        self.read += len(which)
-        whole = len(which) == len(self.at)
-        ends = np.append(self.at, len(self.raw))
-        raw = self.raw if whole else np.concatenate([self.raw[ends[b] : ends[b + 1]] for b in which])
+class Postings:
+    """One term's list in a shard; a block is decompressed when first asked for, and kept while the
+    items of a block are searched."""
+
+    def __init__(self, df: int, last: np.ndarray, tops: np.ndarray, at: np.ndarray, data: bytes):
+        self.tops, self.last = np.append(tops, 0), last
+        self.ends, self.raw = np.append(at, len(data)), np.frombuffer(data, dtype=np.uint8)
+        self.size = np.minimum(BLOCK, df - BLOCK * np.arange(len(at)))
+        # Places of blocks not read yet count as their last one, which keeps the order.
+        self.place, self.impact = np.repeat(last.astype(np.int64), self.size), np.zeros(df, dtype=np.int64)
+        self.have = np.zeros(len(at), dtype=bool)
+
+    def read(self, which: np.ndarray, norm: np.ndarray):
+        """The blocks ``which`` (rising), decompressed if they are not yet."""
+        which = which[~self.have[which]]
+        if not len(which):
+            return
+        whole = len(which) == len(self.have)
+        raw = self.raw if whole else np.concatenate([self.raw[self.ends[b] : self.ends[b + 1]] for b in which.tolist()])
         pairs = unpack(raw).reshape(-1, 2)
-        # Differences within each block: all blocks but the last of a list hold BLOCK postings.
+        # The first difference of a block is its first place.
+        size = self.size[which]
+        head = np.cumsum(size) - size
         place = np.cumsum(pairs[:, 0])
-        heads = np.arange(0, len(place), BLOCK)
-        place -= np.repeat(place[heads] - pairs[heads, 0], np.diff(np.append(heads, len(place))))
-        tf = pairs[:, 1] + 1
-        return place, self.weight * impacts(tf, norm[place])
+        place -= np.repeat(place[head] - pairs[head, 0], size)
+        into = slice(None) if whole else np.repeat(which * BLOCK - head, size) + np.arange(len(place))
+        self.place[into], self.impact[into] = place, impacts(pairs[:, 1] + 1, norm[place])
+        self.have[which] = True
+
+
+class PostingList:
+    """A list for one item: ``times`` the impacts of the postings, and the most that it can add."""
+
+    def __init__(self, times: int, top: int, postings: Postings):
+        self.weight, self.bound, self.postings = times, times * top, postings
 
     def all(self, norm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.blocks(np.arange(len(self.at)), norm)
+        p = self.postings
+        p.read(np.arange(len(p.have)), norm)
+        return p.place, self.weight * p.impact
 
     def block_bounds(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The block that could hold each place, and the most that it can add."""
-        block = np.searchsorted(self.last, places)
-        return block, self.weight * np.append(self.tops, 0)[block]
+        block = np.searchsorted(self.postings.last, places)
+        return block, self.weight * self.postings.tops[block]
 
     def scores(self, places: np.ndarray, block: np.ndarray, norm: np.ndarray) -> np.ndarray:
         """What the list adds to each place (rising); only the blocks asked for are read."""
-        out = np.zeros(len(places), dtype=np.int64)
-        inside = block < len(self.at)
-        if inside.any():
-            held, score = self.blocks(np.unique(block[inside]), norm)
-            at = np.minimum(np.searchsorted(held, places), len(held) - 1)
-            hit = held[at] == places
-            out[hit] = score[at[hit]]
-        return out
+        p = self.postings
+        wanted = np.zeros(len(p.have) + 1, dtype=bool)
+        wanted[block] = True
+        p.read(np.flatnonzero(wanted[:-1]), norm)
+        at = np.minimum(np.searchsorted(p.place, places), len(p.place) - 1)
+        return np.where(p.place[at] == places, self.weight * p.impact[at], 0)
 
 
 def _kth(scores: np.ndarray, k: int) -> int:
@@ -292,7 +305,7 @@ def max_score(lists: list[PostingList], norm: np.ndarray, k: int = TOP) -> tuple
         threshold = max(threshold, _kth(total[held], k))
         if first and before[first] >= max(threshold, 1) and len(held) >= k and len(lists) - first >= probe:
             # The most promising of them, scored whole, raise the threshold further.
-            probe = 2 * (len(lists) - first)
+            probe = 4 * (len(lists) - first)
             best = np.sort(held[np.argpartition(total[held], len(held) - min(len(held), 2 * k))[-2 * k :]])
             threshold = max(threshold, _kth(_finish(lists[:first], best, total[best], norm, 0, k)[1], k))
     candidates = np.flatnonzero(total)
@@ -372,7 +385,7 @@ def search(index: Index, items: DataFrame, *, top: int = TOP, item_block: int =
     def run(key, left, right):
         return _search_shard(left, right, n_docs, top)
 
-    lists = lists.select("shard", "block", "term", "top", "last", "tops", "at", "data")
+    lists = lists.select("shard", "block", "term", "df", "top", "last", "tops", "at", "data")
     found = lists.groupBy("shard", "block").cogroup(asked.groupBy("in_shard", "of_block")).applyInArrow(run, _FOUND)
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("item_id", "rank", "doc_id", "score")
@@ -392,19 +405,19 @@ def _search_shard(lists: pa.Table, asked: pa.Table, n_docs: int, top: int) -> pa
         ids = asked.column("ids").combine_chunks().flatten().to_numpy()
         known = asked.column("known").combine_chunks().flatten().to_numpy() > 0
         terms = {t: i for i, t in enumerate(lists.column("term").to_pylist())}
-        tops, columns = lists.column("top").to_pylist(), {c: lists.column(c) for c in ("last", "tops", "at", "data")}
-        read: dict[int, tuple] = {}
+        tops, dfs, columns = lists.column("top").to_pylist(), lists.column("df").to_pylist(), {c: lists.column(c) for c in ("last", "tops", "at", "data")}
+        known_lists: dict[int, Postings] = {}
 
-        def parts(i: int) -> tuple:
-            if i not in read:
-                read[i] = (*(columns[c][i].values.to_numpy() for c in ("last", "tops", "at")), columns["data"][i].as_py())
-            return read[i]
+        def postings(i: int) -> Postings:
+            if i not in known_lists:
+                known_lists[i] = Postings(dfs[i], *(columns[c][i].values.to_numpy() for c in ("last", "tops", "at")), columns["data"][i].as_py())
+            return known_lists[i]
 
         items: dict[int, list[PostingList]] = {}
         for x in asked.column("items")[0].as_py():
             i = terms.get(x["term"])
             if i is not None:
-                items.setdefault(x["item_id"], []).append(PostingList(x["times"] * weight(n_docs, x["all_df"]), tops[i], *parts(i)))
+                items.setdefault(x["item_id"], []).append(PostingList(x["times"] * weight(n_docs, x["all_df"]), tops[i], postings(i)))
         for item, own in items.items():
             places, scores = max_score(own, norm, top)
             order = np.lexsort((ids[places], ~known[places], -scores))[:top]
