@@ -21,10 +21,25 @@ ODD = ["", " ", "  two  spaces ", "a\n\nb", "<s> hi </s>", "日本語 😀 ẞ",
 
 
 def test_parity_with_the_library(spark):
-    texts = [r["text"] for r in table(spark, TABLES, "documents").select("text").collect()][:300]
+    texts = [r["text"] or "" for r in table(spark, TABLES, "documents").select("text").collect()]
     assert all(spm.parity(model_bytes(), texts + ODD + ["▁marker"]))
 
 
+def test_texts_read_as_their_words_do(spark):
+    """The decoded texts of the word path against the library's decoder on whole id lists."""
+    texts = [r["text"] or "" for r in table(spark, TABLES, "documents").select("text").collect()]
+    texts += ODD + ["▁marker", "日本\n\u0000語 \U0010ffff", "a\u200d b\x80", "\n\n", "  "]
+    codec = spm.Codec(model_bytes(), 1, cached_words=5_000)
+    flat, ends, back = [], [0], []
+    for at in range(0, len(texts), 100):
+        f, e, b = codec.encode_flat(texts[at : at + 100])
+        flat += f.tolist()
+        ends += (e[1:] + ends[-1]).tolist()
+        back += b
+    whole = codec.tokenizer.decode_batch([flat[a:b] for a, b in zip(ends, ends[1:])], skip_special_tokens=False)
+    assert back == whole and codec.by_word
+
+
 def test_codec_round_trip(make_docs):
     df = make_docs([*enumerate(ODD), (None, "null id"), (90, None), (90, "again"), (91, "▁x")])
     out = spm.encode_documents(df, model_bytes())

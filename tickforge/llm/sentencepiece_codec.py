@@ -151,7 +151,7 @@ class Codec:
     next: then only the words not met before go to the library, in batches on ``threads`` threads,
     and a text's ids are those of its words. ``cached_words`` bounds what is remembered."""
 
-    def __init__(self, data: bytes, threads: int = 2, cached_words: int = 50_000):
+    def __init__(self, data: bytes, threads: int = 2, cached_words: int = 100_000):
         import os
 
         from tokenizers import normalizers
@@ -169,13 +169,16 @@ class Codec:
         self.plain = not model.charsmap and not model.squeeze_spaces and model.dummy_prefix
         if self.by_word:
             self.tokenizer.normalizer = normalizers.Sequence([])
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}  # ids, as little-endian int32
+        self.read: dict[str, str] = {}  # and what they decode to
         self.cached_words = cached_words
         self.prefix = model.dummy_prefix
         # What a piece reads as by itself; None for bytes that need their neighbours.
         self.shown: list[str | None] = []
+        self.raw: list[bytes] = []
         for piece, _, kind in model.pieces:
             byte = int(piece[3:5], 16) if kind == BYTE else -1
+            self.raw.append(bytes([byte]) if byte >= 0 else piece.replace(MARKER, " ").encode())
             self.shown.append(piece.replace(MARKER, " ") if byte < 0 else chr(byte) if byte < 128 else None)
 
     def _split(self, text: str) -> list[str]:
@@ -186,15 +189,43 @@ class Codec:
         return self.word.findall(text)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        flat, ends, _ = self.encode_flat(texts)
+        return [flat[a:b].tolist() for a, b in zip(ends, ends[1:])]
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """All ids in one array, where each text's ids end, and the texts decoded from them."""
         if not self.by_word:
-            return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            flat = np.fromiter((x for row in ids for x in row), dtype=np.int32)
+            return flat, np.cumsum([0, *map(len, ids)]), self.decode(ids)
         split = [self._split(t) for t in texts]
         if len(self.words) > self.cached_words:
             self.words.clear()
-        known = self.words
+            self.read.clear()
+        known, read = self.words, self.read
         new = list({w for words in split for w in words if w not in known})
-        known.update(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        return [[x for w in words for x in known[w]] for words in split]
+        for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            known[word] = np.array(e.ids, dtype="<i4").tobytes()
+            read[word] = self._word_text(e.ids)
+        parts = [b"".join([known[w] for w in words]) for words in split]
+        back = []
+        for words, part in zip(split, parts):
+            # Bytes of a character stay within a word, so a text reads as its words do.
+            text = "".join([read[w] for w in words])
+            back.append(text[1:] if self.prefix and text[:1] == " " else text)
+        return np.frombuffer(b"".join(parts), dtype="<i4"), np.cumsum([0, *map(len, parts)]) // 4, back
+
+    def _word_text(self, ids: list[int]) -> str:
+        """What the ids of one word read as, its leading space included."""
+        try:
+            return "".join([self.shown[x] for x in ids])
+        except TypeError:
+            raw = b"".join([self.raw[x] for x in ids])
+        try:
+            return raw.decode()
+        except UnicodeDecodeError:
+            text = self.tokenizer.decode(ids, skip_special_tokens=False)
+            return " " + text if self.prefix and raw[:1] == b" " else text
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of id lists; lists with bytes beyond ASCII go through the library's decoder."""
@@ -233,14 +264,11 @@ def encode_documents(docs: DataFrame, model: bytes, *, threads: int = 2) -> Data
         if not ready:
             ready.append(Codec(shared.value, threads))
         texts = texts_of(batch)
-        ids = ready[0].encode(texts)
-        back = ready[0].decode(ids)
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter((x for row in ids for x in row), dtype=np.int32, count=int(sizes.sum()))
-        ends = np.concatenate([[0], np.cumsum(sizes)])
+        flat, ends, back = ready[0].encode_flat(texts)
+        sizes = np.diff(ends)
         digest = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(ends, ends[1:])]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), pa.array(digest), pa.array([a == b for a, b in zip(texts, back)])],
+            [batch.column(0), pa.array(sizes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())), pa.array(digest), pa.array([a == b for a, b in zip(texts, back)])],
             ["doc_id", "n_tokens", "ids", "ids_sha256", "round_trip"],
         )
 
