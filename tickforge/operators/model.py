@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -219,17 +219,28 @@ def permutation_importance(
     n_rows: int | None = None,
     repeats: int = PERM_REPEATS,
     seed: int = 42,
+    order_cols: Sequence[str] = (),
 ) -> DataFrame:
     """M6: R^2 drop when one feature is shuffled, mean over ``repeats``; all rows of ``sample``
-    (``n_rows``: only the first positions). Rows are numbered in buckets of a content hash. In each
-    repeat they are numbered again by a seeded hash, and the row at position i lends its values to
-    row i: one join, whose rows are then exploded by feature, scored and aggregated to one R^2 a
-    (feature, repeat) without another exchange of rows. Returns (feature, importance)."""
+    (``n_rows``: only the first positions). Returns (feature, importance).
+
+    Boosted trees are scored by delta (:mod:`tickforge.operators.importance`): only the trees that
+    split on the shuffled feature run again. Any other model with ``transform`` scores a copy of the
+    rows a (feature, repeat): rows are numbered (by ``order_cols``, then content), in each repeat
+    numbered again by a seeded hash, and the row at position i lends its values to row i."""
+    from tickforge.operators import importance
+
     feats = list(feature_cols)
     rows = sample if n_rows is None else sample.where(F.col(seq_col) < n_rows)
+    if isinstance(model, PipelineModel) and isinstance(model.stages[-1], GBTRegressionModel):
+        return importance.delta_importance(
+            importance.flatten(model), rows, feats, label=label, order_cols=order_cols, repeats=repeats, seed=seed
+        )
     # Positions may repeat (one sequence a group): number the rows of the sample themselves.
-    rows = rows.withColumn("_hash", content_hash(rows, rows.columns)).select("_hash", label, *feats)
-    base = drop_helpers(with_sequence(rows, ["_hash"], seq_col="_row")).drop("n_group", "_hash").checkpoint()
+    order = [f"_o{i}" for i in range(len(order_cols))]
+    rows = rows.withColumn("_hash", content_hash(rows, rows.columns))
+    rows = rows.select(*[F.col(c).alias(o) for c, o in zip(order_cols, order)], "_hash", label, *feats)
+    base = drop_helpers(with_sequence(rows, [*order, "_hash"], seq_col="_row")).drop("n_group", "_hash", *order).checkpoint()
     lent = base.select(
         F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"), F.col("_row").alias("_src"),
         *[F.col(c).cast("double").alias(f"_lent_{i}") for i, c in enumerate(feats)],
