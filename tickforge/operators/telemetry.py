@@ -8,11 +8,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickforge.operators.sequence import drop_helpers, ordered_windows, with_sequence
-
 
 def counter_rate(
     samples: DataFrame,
@@ -25,22 +23,33 @@ def counter_rate(
 ) -> DataFrame:
     """Per tumbling window, the reset-aware increase of each counter series (a drop in value
     is a reset: the new value counts as the increase) summed over series (grouped by ``by``), per
-    minute: ``increase / window seconds * 60``. Consecutive samples come from the positional
-    engine (lag 1 per series)."""
-    # Samples of a series are ordered by time, then value (a counter only grows between resets).
-    s = with_sequence(samples, list(order_cols or (ts_col, value_col)), series_cols)
-
-    def stage(w):
-        prev = F.lag(value_col, 1).over(w)
-        delta = F.when(prev.isNull(), F.lit(0.0)).when(F.col(value_col) >= prev, F.col(value_col) - prev).otherwise(
-            F.col(value_col)
-        )
-        return {"_tf_inc": delta.cast("double")}
+    minute: ``increase / window seconds * 60``.
 
-    d = drop_helpers(ordered_windows(s, [stage], lookback=1))
+    A segmented scan: one exchange of rows by (series, window), where each segment is summed up as
+    (first value, last value, increase inside). The segments of a series, one row each, then combine
+    in time order: what lies between two of them is the step from one's last to the next one's
+    first. Samples of a series are ordered by time, then value (a counter only grows between
+    resets); samples without time are left out."""
+    order = [F.col(c).asc_nulls_last() for c in (order_cols or (ts_col, value_col))]
     win = (F.floor(F.col(ts_col) / F.lit(window_ms)) * F.lit(window_ms)).cast("bigint")
+    keys = [*series_cols, "window_start"]
+    rows = samples.where(F.col(ts_col).isNotNull()).withColumn("window_start", win)
+
+    def step(value: Column, prev: Column) -> Column:
+        return F.when(prev.isNull(), F.lit(0.0)).when(value >= prev, value - prev).otherwise(value).cast("double")
+
+    # Windows and aggregate share the exchange on (series, window).
+    w = Window.partitionBy(*keys).orderBy(*order)
+    at = F.row_number().over(w)
+    inside = step(F.col(value_col), F.lag(value_col).over(w))
+    marked = rows.select(*keys, F.col(value_col).alias("_tf_v"), at.alias("_tf_at"), inside.alias("_tf_step"))
+    parts = marked.groupBy(*keys).agg(
+        F.min_by("_tf_v", "_tf_at").alias("_tf_first"), F.max_by("_tf_v", "_tf_at").alias("_tf_last"), F.sum("_tf_step").alias("_tf_inside")
+    )
+    series = Window.partitionBy(*series_cols).orderBy("window_start")
+    whole = F.col("_tf_inside") + step(F.col("_tf_first"), F.lag("_tf_last").over(series))
     return (
-        d.withColumn("window_start", win)
+        parts.withColumn("_tf_inc", whole)
         .groupBy(*by, "window_start")
         .agg(F.sum("_tf_inc").alias("increase"))
         .withColumn("rate_per_min", F.col("increase") / F.lit(window_ms / 1000.0) * F.lit(60.0))

@@ -58,9 +58,7 @@ def q_stream_gold(spark, sf):
     return gold_all(g, ["trade_id"])
 
 
-@register(
-    "stream_rolling_features",
-    "U4 W1 W2 W7",
+ROLLING_SQL = (
     with_tapes(E_TAPE)
     + """
 , r AS (SELECT *, CASE WHEN row_number() OVER wo = 1 THEN 0.0 ELSE ln(price / lag(price) OVER wo) END AS lr
@@ -75,8 +73,11 @@ SELECT trade_id, symbol,
        """
     + sql_fround('sqrt(sum(lr * lr) OVER (PARTITION BY symbol ORDER BY "timestamp", trade_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))')
     + """ AS realized_volatility_10
-FROM r""",
+FROM r"""
 )
+
+
+@register("stream_rolling_features", "U4 W1 W2 W7", ROLLING_SQL)
 def q_stream_rolling_features(spark, sf):
     tape = events_to_tape(streams.read_table_stream(spark, sf, "events"))
     f = streams.stream_rolling_features(spark, tape, windows=(5, 10, 20), lag_steps=(1,), vol_windows=(10,),
