@@ -82,7 +82,15 @@ def test_empty_and_extra_columns(make_docs):
     df = make_docs([(2, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f")]).selectExpr("*", "1 AS rep", "2 AS band", "3 AS key", "4 AS gone")
     assert classes(near_duplicates(df)) == [(1, 1), (1, 1), (2, 1)]
     out = keep_first(df)
-    assert out.columns == df.columns and [r["doc_id"] for r in out.collect()] == [1, 1]
+    assert out.columns == df.columns and [r["doc_id"] for r in out.collect()] == [1]
+
+
+def test_a_table_ingested_twice_leaves_one_row_a_class(make_docs):
+    rows = [(i, f"text number {i} of a small table with words enough") for i in range(5)] + [(7, "one"), (7, "two"), (7, "two")]
+    df = make_docs(rows + rows + [(9, rows[0][1])])
+    kept = keep_first(df).collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, 1, 2, 3, 4, 7]
+    assert {r["text"] for r in kept if r["doc_id"] == 7} == {r["text"] for r in keep_first(df.repartition(5)).collect() if r["doc_id"] == 7}
 
 
 def test_one_id_with_two_texts_links_their_classes(make_docs):

@@ -27,7 +27,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tf_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete ``written`` tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._tf_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows up to which a written table with columns of fixed size is broadcast (some 16 to 500 bytes
+#: each, so 50 MB at most); a larger one is joined by a shuffle.
+BROADCAST_ROWS = 100_000
+
+
+def beside(df: DataFrame) -> DataFrame:
+    """A written table for the small side of a join: broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def fold(doc_id: str, mod: int) -> "F.Column":

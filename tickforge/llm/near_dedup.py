@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickforge.llm.common import Powers, by_id, map_texts, mix, texts_of, written
+from tickforge.llm.common import Powers, beside, by_id, map_texts, mix, release, texts_of, written
 from tickforge.operators.sequence import content_hash
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -196,15 +196,19 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "near-links")
     last = None
     while True:
+        # Both minima are partial aggregates, one row a node; a hot node's edges stay where they are.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        edges = written(small.where("u <> v").distinct(), "near-links")
+        low = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "near-lowest")
+        large = both.join(beside(low), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "near-lowest")
+        small = large.join(beside(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        before, edges = edges, written(small.where("u <> v").distinct(), "near-links")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        release(before, low, least)
         if now == last:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+            out = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+            out._tf_path = edges._tf_path
+            return out
         last = now
 
 
@@ -214,7 +218,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, weighted: bo
     other = sets.select(F.col("rep").alias("a"), F.col("elements").alias("ea"), F.col("counts").alias("ca"))
     if not weighted:
         own, other = own.drop("cb"), other.drop("ca")
-    met = pairs.join(own, "b").join(other, "a")
+    met = own.join(beside(pairs), "b").join(other, "a")
     if weighted:
         near = F.map_from_arrays("eb", "cb")
         shared = F.aggregate(F.zip_with("ea", "ca", lambda e, c: F.least(c, F.coalesce(F.element_at(near, e), F.lit(0)))), F.lit(0).cast("long"), lambda s, x: s + x)
@@ -226,8 +230,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, weighted: bo
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """``members`` with the label of their class."""
-    named = members.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
+    """``members`` with the label of their class; ``labels`` as ``components`` gives them."""
+    named = members.join(beside(labels).select(F.col("node").alias("rep"), "label"), "rep", "left")
     return named.withColumn("label", F.coalesce("label", "rep"))
 
 
@@ -282,19 +286,23 @@ def _classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BA
         typical = F.struct((1 - F.col("shared") / F.col("size")).alias("lone"), F.col("rep").alias("led"), *[F.col(c).alias(f"led_{c}") for c in ("size", "shared", "label", "print", "earlier")])
         leaders = members.groupBy("band", "key", F.pmod(F.xxhash64("rep"), F.lit(lanes)).alias("lane")).agg(F.min(typical).alias("x"))
         leaders = written(leaders.select("band", "key", *[f"x.led{c}" for c in ("", "_size", "_shared", "_label", "_print", "_earlier")]), "near-leaders")
-        pairs = members.join(leaders, ["band", "key"]).where((F.col("label") != F.col("led_label")) & _may_link(similarity) & ~F.arrays_overlap("earlier", "led_earlier"))
+        led = beside(leaders)
+        pairs = members.join(led, ["band", "key"]).where((F.col("label") != F.col("led_label")) & _may_link(similarity) & ~F.arrays_overlap("earlier", "led_earlier"))
         pairs = written(pairs.select(F.least("rep", "led").alias("a"), F.greatest("rep", "led").alias("b")).distinct(), "near-pairs")
         found = written(_verified(pairs, sets, similarity, weighted), "near-found")
+        old = labels
         if not found.isEmpty():
             # A label stands for its class: links between labels carry the classes on.
             links = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found)
             labels = components(links)
         # A leader has met every member of its bucket and leaves it. Buckets whose other members
         # are all of one class are done.
-        rest = members.join(leaders.select("band", "key", F.col("led").alias("rep")), ["band", "key", "rep"], "left_anti")
+        rest = members.join(led.select("band", "key", F.col("led").alias("rep")), ["band", "key", "rep"], "left_anti")
         rest = written(_labelled(rest.drop("label"), labels), "near-members")
         mixed = rest.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
-        members = written(rest.join(mixed, ["band", "key"]), "near-members")
+        mixed = written(mixed, "near-mixed")
+        before, members = members, written(rest.join(beside(mixed), ["band", "key"]), "near-members")
+        release(before, leaders, pairs, found, rest, mixed, *([old] if old is not labels else []))
         lanes = max(LEADERS, 4 * lanes)
     # From nodes to doc_ids: the smallest of a class, brought to its sets by a salted join.
     named = _labelled(reps.select("same", "id", "rep"), labels)
@@ -305,17 +313,25 @@ def _classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BA
 
 
 def keep_first(docs: DataFrame, **how) -> DataFrame:
-    """The documents (all their columns) whose id names their class, each of its rows. A document
-    with a NULL id stays if no document with an id has its set, one row (by hash) a set."""
+    """One document (all its columns) of each class: that whose id names the class, and of several
+    rows with this id the one of the smallest text hash, then row hash. Documents without an id
+    stay only if no document with one has their set: one row, by hash, a set."""
     marks, names = _classes(docs, **how)
     classes = marks.select("doc_id", "same").join(names, "same")
     gone = written(classes.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("gone")).distinct(), "near-gone")
+    ids = marks.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("again")).agg(F.count("*").alias("n")).where("n > 1")
+    again = written(ids.select("again"), "near-again")
     own = docs["doc_id"].cast("long")
     kept = docs.join(gone, own == gone["gone"], "left_anti").where(own.isNotNull())
+    single = kept.join(again, own == again["again"], "left_anti")
+    # Rows that share an id: the least is found before the shuffle, task by task.
+    many = kept.join(again, own == again["again"], "left_semi")
+    order = F.struct(F.xxhash64(F.col("text").cast("string")), content_hash(docs, docs.columns))
+    many = many.groupBy(own.alias("_id")).agg(F.min_by(F.struct(*docs.columns), order).alias("_row")).select("_row.*")
     lost = _with_digest(docs.where(own.isNull()), how.get("shingle_words", SHINGLE_WORDS), how.get("weighted", False))
     lost = lost.groupBy("_same").agg(F.min_by("_row", "_hash").alias("_row"))
     known = names.where(F.col("class_id").isNotNull()).select(F.col("same").alias("_same"))
-    return kept.unionByName(lost.join(known, "_same", "left_anti").select("_row.*"))
+    return single.unionByName(many).unionByName(lost.join(known, "_same", "left_anti").select("_row.*"))
 
 
 def _with_digest(docs: DataFrame, shingle_words: int, weighted: bool) -> DataFrame:
