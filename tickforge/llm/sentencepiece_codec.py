@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -149,9 +150,10 @@ class Codec:
 
     Where no piece has the marker behind another character, no token crosses from one word to the
     next: then only the words not met before go to the library, in batches on ``threads`` threads,
-    and a text's ids are those of its words. ``cached_words`` bounds what is remembered."""
+    and a text's ids are those of its words. Twice ``cached_words`` words are remembered at most,
+    and those of one batch."""
 
-    def __init__(self, data: bytes, threads: int = 2, cached_words: int = 100_000):
+    def __init__(self, data: bytes, threads: int = 2, cached_words: int = 200_000):
         import os
 
         from tokenizers import normalizers
@@ -169,8 +171,9 @@ class Codec:
         self.plain = not model.charsmap and not model.squeeze_spaces and model.dummy_prefix
         if self.by_word:
             self.tokenizer.normalizer = normalizers.Sequence([])
-        self.words: dict[str, bytes] = {}  # ids, as little-endian int32
-        self.read: dict[str, str] = {}  # and what they decode to
+        # Ids (as int32) of the words met, and what they decode to; and those of the turn before.
+        self.words: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
         self.cached_words = cached_words
         self.prefix = model.dummy_prefix
         # What a piece reads as by itself; None for bytes that need their neighbours.
@@ -200,20 +203,23 @@ class Codec:
             return flat, np.cumsum([0, *map(len, ids)]), self.decode(ids)
         split = [self._split(t) for t in texts]
         if len(self.words) > self.cached_words:
-            self.words.clear()
-            self.read.clear()
-        known, read = self.words, self.read
+            # Words met since the last turn stay for one more; the others are forgotten.
+            self.older, self.words = self.words, {}
+        known, older = self.words, self.older
         new = list({w for words in split for w in words if w not in known})
+        known.update((w, older[w]) for w in new if w in older)
+        new = [w for w in new if w not in known]
         for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = np.array(e.ids, dtype="<i4").tobytes()
-            read[word] = self._word_text(e.ids)
-        parts = [b"".join([known[w] for w in words]) for words in split]
-        back = []
-        for words, part in zip(split, parts):
+            ids = e.ids
+            known[word] = (array("i", ids).tobytes(), self._word_text(ids))
+        parts, back = [], []
+        for words in split:
+            got = [known[w] for w in words]
+            parts.append(b"".join([x[0] for x in got]))
             # Bytes of a character stay within a word, so a text reads as its words do.
-            text = "".join([read[w] for w in words])
+            text = "".join([x[1] for x in got])
             back.append(text[1:] if self.prefix and text[:1] == " " else text)
-        return np.frombuffer(b"".join(parts), dtype="<i4"), np.cumsum([0, *map(len, parts)]) // 4, back
+        return np.frombuffer(b"".join(parts), dtype=np.int32), np.cumsum([0, *map(len, parts)]) // 4, back
 
     def _word_text(self, ids: list[int]) -> str:
         """What the ids of one word read as, its leading space included."""
