@@ -334,20 +334,23 @@ def score(
     *,
     id_col: str = "trade_id",
     version: str = "local",
+    present: str | None = None,
 ) -> DataFrame:
     """Align to the pruned columns (missing -> 0.0, P10), transform by name,
     code, predict; price and band rounded to 2 digits. Raw trades go through the feature builder
-    first (M11); vectors from the online table (J1) are scored as they are (M12)."""
+    first (M11); vectors from the online table (J1) are scored as they are (M12). Where the flag
+    column ``present`` is not true there is no vector, and neither price nor band."""
     from tickforge.operators.online import align_columns
 
     cols = fitted.pruned_cols
-    aligned = align_columns(features, cols, keep=[id_col])
+    aligned = align_columns(features, cols, keep=[id_col, *([present] if present else [])])
     knots = {c: fitted.knots[c] for c in cols if c in fitted.knots}
     coded = quantize(apply_quantile_transform(aligned, knots), list(knots), "u8")
     pred = fitted.model.transform(coded)
+    there = F.coalesce(F.col(present), F.lit(False)) if present else F.lit(True)
     return pred.select(
         F.col(id_col),
-        F.round("prediction", 2).alias("predicted_price"),
-        prediction_band(F.col("prediction")).alias("confidence_interval_95"),
+        F.when(there, F.round("prediction", 2)).alias("predicted_price"),
+        F.when(there, prediction_band(F.col("prediction"))).alias("confidence_interval_95"),
         F.lit(version).alias("model_version"),
     )

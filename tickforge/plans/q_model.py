@@ -332,18 +332,38 @@ latest AS (SELECT * FROM e ORDER BY "timestamp" DESC, trade_id DESC LIMIT 1)"""
     "K7 O2 O4 E6 E7",
     _ONLINE_SQL
     + """
-SELECT 'eth_feature:' || CAST(trade_id AS VARCHAR) AS key, trade_id, "timestamp", CAST((SELECT t FROM asof_t) + 604800000 AS BIGINT) AS expires_at_ms
+SELECT 'eth_feature:' || CAST(trade_id AS VARCHAR) AS key, trade_id, price, quantity, quote_quantity, "timestamp", is_buyer_maker, is_best_match, symbol, ds, CAST((SELECT t FROM asof_t) + 604800000 AS BIGINT) AS expires_at_ms
 FROM tail
 UNION ALL
-SELECT 'eth_feature:latest', trade_id, "timestamp", CAST((SELECT t FROM asof_t) + 604800000 AS BIGINT) FROM latest""",
+SELECT 'eth_feature:latest', trade_id, price, quantity, quote_quantity, "timestamp", is_buyer_maker, is_best_match, symbol, ds, CAST((SELECT t FROM asof_t) + 604800000 AS BIGINT) FROM latest""",
 )
 def q_online_topk_payload(spark, sf):
     t = tape_events(spark, sf)
     as_of = t.agg(F.max("timestamp")).first()[0]
     kv = online.online_table(t, as_of)
-    schema = T.StructType([T.StructField("trade_id", T.LongType()), T.StructField("timestamp", T.LongType())])
-    v = F.from_json("payload", schema)
-    return kv.select("key", v["trade_id"].alias("trade_id"), v["timestamp"].alias("timestamp"), "expires_at_ms")
+    got = kv.withColumn("v", F.from_json("payload", t.schema))
+    return got.select("key", "v.*", "expires_at_ms")
+
+
+@register(
+    "online_lookup_outcomes",
+    "J1 M12",
+    _ONLINE_SQL
+    + """
+SELECT e.trade_id AS request_id, tail.trade_id IS NOT NULL AND e.trade_id % 10 <> 0 AS found,
+       CASE WHEN e.trade_id % 10 <> 0 THEN tail.price END AS price
+FROM e LEFT JOIN tail ON e.trade_id = tail.trade_id""",
+)
+def q_online_lookup_outcomes(spark, sf):
+    """A table without its ``latest`` entry, every tenth payload broken: unknown keys and payloads
+    that cannot be read give no vector."""
+    t = tape_events(spark, sf)
+    as_of = t.agg(F.max("timestamp")).first()[0]
+    kv = online.online_table(t, as_of).where(F.col("key") != online.KEY_PREFIX + online.LATEST)
+    broken = F.substring_index("key", ":", -1).try_cast("bigint") % 10 == 0
+    kv = kv.withColumn("payload", F.when(broken, F.lit("{broken")).otherwise(F.col("payload")))
+    got = online.lookup(t.select(F.col("trade_id").alias("request_id")), kv, "trade_id bigint, price double", as_of_ms=as_of)
+    return got.select("request_id", online.has_vector(got).alias("found"), F.col("vector.price").alias("price"))
 
 
 @register(
