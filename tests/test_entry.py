@@ -30,3 +30,13 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 409_600  # ~256 MB of input per partition
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(1, 2, 4)["spark.sql.shuffle.partitions"]) == 16  # at least 2 per core
+
+
+def test_catalogue_needs_no_session():
+    """queries() and oracle_sql() may be asked for before any session exists."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert q and set(o) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1])
