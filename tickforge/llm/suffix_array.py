@@ -78,36 +78,60 @@ def _induce_by_bucket(t, small, lms, width):
     return sa
 
 
-def _induce_one_by_one(t, small, lms, width):
-    """The same for alphabets about as long as the text, in plain loops."""
+def _order_runs(t, member, stop, rank):
+    """Positions of ``member`` in suffix order. From each of them a run of members leads on to a
+    position of ``stop``, whose order within its symbol is known (``rank``); at equal symbols a
+    large suffix is smaller than a small one, so ``t`` comes doubled with the type added. Ties of
+    the first symbols are broken by the ranks of the symbols behind, twice as far each time."""
     n = len(t)
-    size = np.bincount(t, minlength=width)
-    end = np.cumsum(size)
-    begin = (end - size).tolist()
-    text, is_small = t.tolist(), small.tolist()
-    sa = [-1] * n
-    tail = end.tolist()
-    for i in lms[::-1].tolist():
-        tail[text[i]] -= 1
-        sa[tail[text[i]]] = i
-    for r in range(n):
-        j = sa[r] - 1
-        if j >= 0 and not is_small[j]:
-            c = text[j]
-            sa[begin[c]] = j
-            begin[c] += 1
-    tail = end.tolist()
-    for r in range(n - 1, -1, -1):
-        j = sa[r] - 1
-        if j >= 0 and is_small[j]:
-            c = text[j]
-            tail[c] -= 1
-            sa[tail[c]] = j
-    return np.array(sa, dtype=np.int64)
+    at = np.flatnonzero(member | stop)
+    key = t[at] * (n + 1) + np.where(stop[at], rank[at] + 1, 0)
+    by = np.argsort(key, kind="stable")
+    at, key = at[by], key[by]
+    head = np.concatenate([[True], key[1:] != key[:-1]])
+    place = np.zeros(n, dtype=np.int64)
+    place[at] = np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
+    far = 1
+    while True:
+        # Suffixes that share their rank with a neighbour: only they are told apart further.
+        tied = np.flatnonzero(~(head & np.append(head[1:], True)))
+        if not len(tied):
+            return at[member[at]]
+        j = at[tied]
+        key = place[j] * n + place[j + far]
+        by = np.argsort(key, kind="stable")
+        j, key = j[by], key[by]
+        at[tied] = j
+        head[tied] = np.concatenate([[True], key[1:] != key[:-1]])
+        place[j] = np.maximum.accumulate(np.where(head[tied], tied, 0))
+        far *= 2
+
+
+def _induce_by_runs(t, small, lms, width):
+    """The same for wide alphabets: large suffixes are ordered by their runs down to an LMS
+    suffix, then small ones by their runs up to a large suffix; all of a type at once."""
+    n = len(t)
+    typed = 2 * t + small
+    rank = np.zeros(n, dtype=np.int64)
+    rank[lms] = np.arange(len(lms))
+    is_lms = np.zeros(n, dtype=bool)
+    is_lms[lms] = True
+    large = _order_runs(typed, ~small, is_lms, rank)
+    rank[large] = np.arange(len(large))
+    ends = np.concatenate([[False], small[:-1]]) & ~small
+    rest = _order_runs(typed, small, ends, rank)
+    # Within a symbol the large suffixes come first.
+    size = np.bincount(typed, minlength=2 * width)
+    begin = np.cumsum(size) - size
+    sa = np.empty(n, dtype=np.int64)
+    for group in (large, rest):
+        c = typed[group]
+        sa[begin[c] + _ranks(c)] = group
+    return sa
 
 
 def _induce(t, small, lms, width):
-    return (_induce_by_bucket if width <= 1024 else _induce_one_by_one)(t, small, lms, width)
+    return (_induce_by_bucket if width <= 1024 else _induce_by_runs)(t, small, lms, width)
 
 
 def suffix_array(t: np.ndarray, width: int) -> np.ndarray:
