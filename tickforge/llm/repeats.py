@@ -5,14 +5,15 @@ smaller doc_id. Every such string holds one anchor, the place of the smallest ha
 ``ANCHOR``-byte strings, which depends on the string alone; strings of a document with the same
 anchor form a window (67 bytes on average). Equal strings therefore meet under equal anchors:
 
-1. (anchor hash, window hash, doc_id) rows are sorted by anchor and streamed. Of equal windows all
-   documents but the first lose every string of it. Where an anchor has several different windows,
-   the first document of each sends its window on.
+1. (anchor hash, window hash, sides, doc_id) rows are sorted by anchor and streamed. Of equal
+   windows all documents but the first lose every string of it. Where an anchor has several
+   different windows, the first document of each sends its window on, unless the sides show that
+   the window shares no string with any other of the anchor (``_sides``; nothing shared is missed).
 2. These windows are dealt by anchor into shards of about ``shard_bytes``; each shard's text gets
    its suffix array by induced sorting and its common prefixes in text order. Neighbouring
    suffixes with ``least`` bytes in common are one string; those whose document is not the
    string's smallest lose it.
-3. The lost strings of a document are joined to its text, and the text is cut.
+3. The lost strings of a document, as ranges of places, are joined to its text, and it is cut.
 
 An anchor with more than ``hot_windows`` different windows would not fit a shard's bound; its
 strings are counted one by one (smallest document a string, by a partial aggregate) instead.
@@ -29,15 +30,17 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import Powers, by_id, map_texts, mix, written
+from tickforge.llm.common import Powers, by_id, map_texts, mix, release, written
 from tickforge.llm.suffix_array import common_prefixes, suffix_array, words8
 
 LEAST, ANCHOR = 50, 16
 SHARD_BYTES = 1_000_000
 HOT_WINDOWS = 10_000
+SIDES = 4
 #: Places told apart in the low bits of a packed (hash, place); longer texts are read in pieces.
 _PLACE_BITS = 23
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -46,11 +49,34 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 def windows(raw: bytes, sizes: np.ndarray, powers: Powers, least: int = LEAST):
     """The windows of the texts joined in ``raw`` (their byte counts in ``sizes``): (text, first
     and last start of its strings within ``raw``, anchor hash, window hash), as arrays."""
+    return _windows(raw, sizes, powers, least)[:5]
+
+
+def _sides(chain: np.ndarray, down: np.ndarray, start: np.ndarray, stop: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
+    """What a window can share with another one of its anchor, as ``SIDES`` keys of 16 bits. A
+    string reaches some bytes left of the anchor and the rest right of it, so two windows that
+    hold it agree in one of ``SIDES`` splits: in so many bytes left and in all but a few of the
+    others right. A key is 0 where the window does not reach that far."""
+    more = least - ANCHOR
+    step = -(-(more + 1) // SIDES)
+    out = np.zeros(len(start), dtype=np.uint64)
+    for k in range(SIDES):
+        left, right = k * step, max(0, more - (k + 1) * step + 1)
+        reaches = (at - left >= start) & (at + right + ANCHOR <= stop + least)
+        a, b = at[reaches] - left, at[reaches] + right + ANCHOR
+        with np.errstate(over="ignore"):
+            key = mix((chain[b - 7] - chain[a]) * down[a]) % np.uint64(0xFFFF) + np.uint64(1)
+        out[reaches] |= key << np.uint64(16 * k)
+    return out
+
+
+def _windows(raw: bytes, sizes: np.ndarray, powers: Powers, least: int):
+    """``windows``, and the sides of each."""
     b = np.frombuffer(raw, dtype=np.uint8)
     n, strings = len(b), len(b) - least + 1
     none = np.zeros(0, dtype=np.int64)
     if strings <= 0:
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, *[none.view(np.uint64)] * 3
     if strings > 1 << _PLACE_BITS:  # one very long text (or several): in pieces that share no string
         step, parts, ends = 1 << _PLACE_BITS, [], np.cumsum(sizes)
         for at in range(0, strings, step):
@@ -58,8 +84,8 @@ def windows(raw: bytes, sizes: np.ndarray, powers: Powers, least: int = LEAST):
             first, last = np.searchsorted(ends, at, side="right"), np.searchsorted(ends, to - 1, side="right")
             own = np.diff(np.clip(np.concatenate([[0], ends[first : last + 1]]), at, to))
             own[0] = min(ends[first], to) - at
-            text, lo, hi, h, w = windows(raw[at:to], own, powers, least)
-            parts.append((text + first, lo + at, hi + at, h, w))
+            text, lo, hi, *hashes = _windows(raw[at:to], own, powers, least)
+            parts.append((text + first, lo + at, hi + at, *hashes))
         return tuple(np.concatenate(x) for x in zip(*parts))
     up, down = powers.get(n + 1)
     x = words8(b)
@@ -82,12 +108,12 @@ def windows(raw: bytes, sizes: np.ndarray, powers: Powers, least: int = LEAST):
     inside = np.arange(strings) + least <= ends[text]
     start = np.flatnonzero(inside & np.concatenate([[True], (at[1:] != at[:-1]) | (text[1:] != text[:-1])]))
     if not len(start):
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return none, none, none, *[none.view(np.uint64)] * 3
     change = np.flatnonzero(np.concatenate([(at[1:] != at[:-1]) | (text[1:] != text[:-1]) | ~inside[1:], [True]]))
     stop = change[np.searchsorted(change, start)]
     with np.errstate(over="ignore"):
         window = mix((chain[stop + least - 7] - chain[start]) * down[start] + (stop - start).astype(np.uint64))
-    return text[start], start, stop, h[at[start]], window
+    return text[start], start, stop, h[at[start]], window, _sides(chain, down, start, stop, at[start], least)
 
 
 def _joined(texts: list[str | None]) -> tuple[list[bytes], bytes, np.ndarray]:
@@ -100,70 +126,85 @@ def _anchors(docs: DataFrame, least: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         _, raw, sizes = _joined(batch.column(1).to_pylist())
-        text, _, _, h, w = windows(raw, sizes, powers, least)
+        text, _, _, *hashes = _windows(raw, sizes, powers, least)
         ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[text]
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(w.view(np.int64)), pa.array(ids)], ["anchor", "window", "doc_id"])
+        return pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in hashes], pa.array(ids)], ["anchor", "window", "sides", "doc_id"])
 
-    return map_texts(docs.where(F.col("doc_id").isNotNull()), run, "anchor long, window long, doc_id long")
+    return map_texts(docs.where(F.col("doc_id").isNotNull()), run, "anchor long, window long, sides long, doc_id long")
+
+
+def _to_compare(a, w, s, d):
+    """The heads of windows (sorted by anchor; w and s their hashes and sides, d their documents)
+    that share a side with another window of their anchor, where the documents differ."""
+    first = np.concatenate([[True], a[1:] != a[:-1]])
+    head = np.flatnonzero(first)
+    group = np.cumsum(first) - 1
+    several = np.flatnonzero((np.minimum.reduceat(d, head) < np.maximum.reduceat(d, head))[group])
+    agree = np.zeros(len(several), dtype=bool)
+    for k in range(SIDES):
+        side = (s[several].view(np.uint64) >> np.uint64(16 * k)) & np.uint64(0xFFFF)
+        _, which, count = np.unique((group[several].astype(np.uint64) << np.uint64(16)) | side, return_inverse=True, return_counts=True)
+        agree |= (side > 0) & (count[which] > 1)
+    return several[agree]
 
 
 def _judge(batches):
     """Rows sorted by (anchor, window, doc_id) -> (doc_id, anchor, window, whole): documents that
     lose the whole window, and first documents of windows that must be compared."""
-    schema = pa.schema([("doc_id", pa.int64()), ("anchor", pa.int64()), ("window", pa.int64()), ("whole", pa.bool_())])
-    anchor = window = first = None  # the open anchor, its last window and that window's first document
-    waiting: list[tuple[int, int]] = []  # first (document, window) of each window of the open anchor
+    names = ["doc_id", "anchor", "window", "whole"]
+    none = np.zeros(0, dtype=np.int64)
+    waiting = (none,) * 4  # anchor, window, sides, first document of each window of the open anchor
+    window = first = None  # the open window and its first document
 
-    def compared(a, firsts):
-        if len(firsts) > 1 and len({d for d, _ in firsts}) > 1:
-            return [(d, a, w, False) for d, w in firsts]
-        return []
+    def rows(d, a, w, whole):
+        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(a), pa.array(w), pa.array(np.full(len(d), whole))], names)
 
     for batch in batches:
-        a, w, d = (batch.column(i).to_numpy() for i in range(3))
+        a, w, s, d = (batch.column(i).to_numpy() for i in range(4))
         if not len(a):
             continue
-        new_a = np.concatenate([[a[0] != anchor], a[1:] != a[:-1]])
-        new_w = new_a | np.concatenate([[w[0] != window], w[1:] != w[:-1]])
-        group = np.cumsum(new_w)
-        heads = np.flatnonzero(new_w)
-        smallest = np.concatenate([[first if first is not None else 0], d[heads]])[group]
-        lose = (d > smallest) & np.concatenate([[True], (d[1:] != d[:-1]) | new_w[1:]])
-        out = [(x, y, z, True) for x, y, z in zip(d[lose].tolist(), a[lose].tolist(), w[lose].tolist())]
-        # Only anchors with a second window, or open ends of the batch, need a look one by one.
-        runs = np.cumsum(new_a)
-        several = np.bincount(runs[heads], minlength=runs[-1] + 1) > 1
-        for i in heads[several[runs[heads]] | (runs[heads] == runs[-1]) | (runs[heads] == 0)]:
-            if new_a[i]:
-                out += compared(anchor, waiting)
-                waiting = []
-                anchor = int(a[i])
-            waiting.append((int(d[i]), int(w[i])))
-        if a[-1] != anchor:
-            out += compared(anchor, waiting)
-            anchor, waiting = int(a[-1]), []
+        new = np.concatenate([[not len(waiting[0]) or a[0] != waiting[0][-1] or w[0] != window], (a[1:] != a[:-1]) | (w[1:] != w[:-1])])
+        heads = np.flatnonzero(new)
+        smallest = np.concatenate([[first if first is not None else 0], d[heads]])[np.cumsum(new)]
+        lose = (d > smallest) & np.concatenate([[True], (d[1:] != d[:-1]) | new[1:]])
+        if lose.any():
+            yield rows(d[lose], a[lose], w[lose], True)
+        known = tuple(np.concatenate([x, y[heads]]) for x, y in zip(waiting, (a, w, s, d)))
+        open_ = np.searchsorted(known[0], a[-1])
+        closed, waiting = tuple(x[:open_] for x in known), tuple(x[open_:] for x in known)
+        if open_:
+            pick = _to_compare(*closed)
+            if len(pick):
+                yield rows(closed[3][pick], closed[0][pick], closed[1][pick], False)
         window, first = w[-1], smallest[-1]
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema.names)
-    last = compared(anchor, waiting)
-    if last:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*last), schema.types)], schema.names)
-
-
-def _cut(raw: bytes, starts: np.ndarray, least: int) -> tuple[int, int, str]:
-    """(removed bytes, maximal runs, digest of the rest) when the strings at ``starts`` go."""
-    edge = np.zeros(len(raw) + 1, dtype=np.int32)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + least, -1)
+    if len(waiting[0]):
+        pick = _to_compare(*waiting)
+        if len(pick):
+            yield rows(waiting[3][pick], waiting[0][pick], waiting[1][pick], False)
+
+
+def _cut(raw: bytes, first: np.ndarray, last: np.ndarray, least: int) -> tuple[int, int, str]:
+    """(removed bytes, maximal runs, digest of the rest) when the strings that start from each
+    place of ``first`` to that of ``last`` go."""
+    if not len(first):
+        return 0, 0, hashlib.sha256(raw).hexdigest()
+    n = len(raw)
+    edge = np.bincount(first, minlength=n + 1) - np.bincount(last + least, minlength=n + 1)
     gone = np.cumsum(edge[:-1]) > 0
     runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
     return int(gone.sum()), runs, hashlib.sha256(np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()).hexdigest()
 
 
-def _spread(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """All numbers of the ranges lo..hi (inclusive)."""
-    n = hi - lo + 1
-    return np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+def _ranges(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last numbers of the runs of consecutive numbers in ``at`` (sorted)."""
+    step = np.flatnonzero(np.diff(at) != 1)
+    return at[np.concatenate([[0], step + 1])].astype(np.int32), at[np.append(step, len(at) - 1)].astype(np.int32)
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) of all entries of a list column."""
+    row = pa.compute.list_parent_indices(column)
+    return row.to_numpy(zero_copy_only=False), column.flatten().to_numpy(zero_copy_only=False)
 
 
 _FINAL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -175,40 +216,42 @@ def _apply(verdicts: DataFrame, docs: DataFrame, least: int) -> DataFrame:
     per_doc = verdicts.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("window").alias("windows"), F.collect_list("whole").alias("whole"))
     rows = docs.join(per_doc, "doc_id", "left").select("doc_id", "text", "anchors", "windows", "whole")
     powers = Powers()
-    schema = _FINAL + ", key long, anchor long, start int, raw binary, starts array<int>"
-    kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32())]
+    schema = _FINAL + ", key long, anchor long, start int, raw binary, first array<int>, last array<int>"
+    kinds = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), *[pa.list_(pa.int32())] * 2]
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts, raw, sizes = _joined(batch.column(1).to_pylist())
         ids = batch.column(0).to_pylist()
-        said = [None if not v else v for v in batch.column(2).to_pylist()]
-        windows_said, whole_said = batch.column(3).to_pylist(), batch.column(4).to_pylist()
         text, lo, hi, h, w = windows(raw, sizes, powers, least)
+        h, w = h.view(np.int64), w.view(np.int64)
+        # What is said of a window is looked up by one number, and compared in full.
+        row, anchors = _lists(batch.column(2))
+        said = (row, anchors, _lists(batch.column(3))[1])
+        whole = _lists(batch.column(4))[1].astype(bool)
+        gone = ask = np.zeros(len(text), dtype=bool)
+        if len(row):
+            with np.errstate(over="ignore"):
+                name, mine = (mix(x.astype(np.uint64) * _ODD + mix(a.view(np.uint64)) + b.view(np.uint64)) for x, a, b in (said, (text, h, w)))
+            order = np.argsort(name)
+            at = order[np.minimum(np.searchsorted(name[order], mine), len(name) - 1)]
+            told = (said[0][at] == text) & (said[1][at] == h) & (said[2][at] == w)
+            gone, ask = told & whole[at], told & ~whole[at]
         begin = np.cumsum(sizes) - sizes
         cut = np.searchsorted(text, np.arange(len(sizes) + 1))
         out = []
         for i, (doc_id, own) in enumerate(zip(ids, parts)):
-            if said[i] is None:
-                out.append((doc_id, len(own), 0, 0, hashlib.sha256(own).hexdigest(), None, None, None, None, None))
-                continue
             k = slice(cut[i], cut[i + 1])
-            mine = np.stack([h[k], w[k]], axis=1).view(np.int64)
-            told = {}
-            for a, b, whole in zip(said[i], windows_said[i], whole_said[i]):
-                told[a, b] = whole
-            verdict = [told.get(x) for x in map(tuple, mine.tolist())]
-            gone = np.array([v is True for v in verdict], dtype=bool)
             first, last = lo[k] - begin[i], hi[k] - begin[i]
-            starts = _spread(first[gone], last[gone])
-            compare = [j for j, v in enumerate(verdict) if v is False]
-            if not compare:
-                out.append((doc_id, len(own), *_cut(own, starts, least), None, None, None, None, None))
+            lost, compare = gone[k], np.flatnonzero(ask[k])
+            if not len(compare):
+                out.append((doc_id, len(own), *_cut(own, first[lost], last[lost], least), None, None, None, None, None, None))
                 continue
             # A doc_id may come with several texts: the key tells them apart.
             key = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little", signed=True)
-            out.append((doc_id, len(own), None, None, None, key, None, None, own, starts.astype(np.int32)))
-            out += [(doc_id, None, None, None, None, key, int(mine[j, 0]), int(first[j]), own[first[j] : last[j] + least], None) for j in compare]
+            out.append((doc_id, len(own), None, None, None, key, None, None, own, first[lost].astype(np.int32), last[lost].astype(np.int32)))
+            for a, f, l in zip(h[k][compare].tolist(), first[compare].tolist(), last[compare].tolist()):
+                out.append((doc_id, None, None, None, None, key, a, f, own[f : l + least], None, None))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     return map_texts(rows, run, schema)
@@ -246,7 +289,7 @@ def repeated_in_shard(pieces: list[bytes], owners: np.ndarray, least: int = LEAS
 
 
 def _compare(found: DataFrame, least: int, shard_bytes: int, hot_windows: int) -> DataFrame:
-    """(doc_id, key, starts): strings of compared windows that occur in a smaller document."""
+    """(doc_id, key, first, last): runs of strings of compared windows that occur in a smaller document."""
     rows = found.where(F.col("anchor").isNotNull()).select("doc_id", "key", "anchor", "start", "raw")
     total = rows.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
     hot = written(rows.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot_windows).select("anchor"), "repeats-hot")
@@ -256,17 +299,21 @@ def _compare(found: DataFrame, least: int, shard_bytes: int, hot_windows: int) -
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["anchor", "doc_id", "key", "start"], ignore_index=True)
         got = repeated_in_shard(pdf["raw"].tolist(), pdf["doc_id"].to_numpy(), least)
+        start = pdf["start"].to_numpy()
         keep = [i for i, g in enumerate(got) if len(g)]
-        return pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[keep], "key": pdf["key"].to_numpy()[keep], "starts": pd.Series([(got[i] + pdf["start"].iloc[i]).astype(np.int32) for i in keep], dtype=object)})
+        found = [_ranges(got[i] + start[i]) for i in keep]
+        n = [len(f) for f, _ in found]
+        ends = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, dtype=np.int32)] * 2
+        return pd.DataFrame({"doc_id": np.repeat(pdf["doc_id"].to_numpy()[keep], n), "key": np.repeat(pdf["key"].to_numpy()[keep], n), "first": ends[0], "last": ends[1]})
 
-    lost = dealt.select("doc_id", "key", "anchor", "start", "raw", "shard").groupBy("shard").applyInPandas(run, "doc_id long, key long, starts array<int>")
+    lost = dealt.select("doc_id", "key", "anchor", "start", "raw", "shard").groupBy("shard").applyInPandas(run, "doc_id long, key long, first int, last int")
     if hot.isEmpty():
         return lost
     at = F.explode(F.sequence(F.lit(0), F.octet_length("raw") - least))
     one = rows.join(hot, "anchor", "left_semi").select("doc_id", "key", "start", "raw", at.alias("at"))
     one = one.select("doc_id", "key", (F.col("start") + F.col("at")).alias("start"), F.substring("raw", F.col("at") + 1, F.lit(least)).alias("string"))
     low = one.groupBy("string").agg(F.min("doc_id").alias("low"))
-    more = one.join(low, "string").where("doc_id > low").select("doc_id", "key", F.array(F.col("start").cast("int")).alias("starts"))
+    more = one.join(low, "string").where("doc_id > low").select("doc_id", "key", F.col("start").cast("int").alias("first"), F.col("start").cast("int").alias("last"))
     return lost.unionByName(more)
 
 
@@ -277,18 +324,25 @@ def remove_repeats(documents: DataFrame, *, least: int = LEAST, shard_bytes: int
     anchors = _anchors(docs, least).repartition(n, "anchor").sortWithinPartitions("anchor", "window", "doc_id")
     verdicts = written(anchors.mapInArrow(_judge, "doc_id long, anchor long, window long, whole boolean"), "repeats-verdicts")
     found = written(_apply(verdicts, docs, least), "repeats-found")
-    lost = _compare(found, least, shard_bytes, hot_windows).groupBy("doc_id", "key").agg(F.flatten(F.collect_list("starts")).alias("lost"))
+    release(verdicts)
+    # Firsts and lasts only count in and out of strings, so their order does not matter.
+    lost = _compare(found, least, shard_bytes, hot_windows).groupBy("doc_id", "key").agg(F.collect_list("first").alias("lost_first"), F.collect_list("last").alias("lost_last"))
     final = found.where(F.col("kept_sha256").isNotNull()).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    waiting = found.where(F.col("n_bytes").isNotNull() & F.col("kept_sha256").isNull()).select("doc_id", "key", "raw", "starts").join(lost, ["doc_id", "key"], "left")
+    waiting = found.where(F.col("n_bytes").isNotNull() & F.col("kept_sha256").isNull()).select("doc_id", "key", "raw", "first", "last").join(lost, ["doc_id", "key"], "left")
 
     def cut(batches):
         names = [x.split()[0] for x in _FINAL.split(", ")]
         for batch in batches:
+            rows = np.arange(batch.num_rows + 1)
+            ends = []
+            for i in (2, 3, 4, 5):
+                row, at = _lists(batch.column(i))
+                ends.append((at, np.searchsorted(row, rows)))
             out = []
-            for doc_id, raw, starts, more in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                at = np.unique(np.array(starts + (more or []), dtype=np.int64))
-                out.append((doc_id, len(raw), *_cut(raw, at, least)))
+            for r, (doc_id, raw) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                first, last, more, more_last = (at[c[r] : c[r + 1]] for at, c in ends)
+                out.append((doc_id, len(raw), *_cut(raw, np.concatenate([first, more]), np.concatenate([last, more_last]), least)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 4 + [pa.string()])], names)
 
-    return final.unionByName(waiting.select("doc_id", "raw", "starts", "lost").mapInArrow(cut, _FINAL))
+    return final.unionByName(waiting.select("doc_id", "raw", "first", "last", "lost_first", "lost_last").mapInArrow(cut, _FINAL))
