@@ -192,24 +192,23 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) of the nodes of ``links`` (a, b): label is the smallest node of the component.
 
     Alternating large-star and small-star steps (each a partial aggregate and a join on the
-    node), written to the shared folder; ends when the links no longer change."""
+    node), written to the shared folder; ends when the links are stars: every node that has a
+    smaller neighbour has no other one."""
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "near-links")
-    last = None
     while True:
         # Both minima are partial aggregates, one row a node; a hot node's edges stay where they are.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "near-lowest")
-        large = both.join(beside(low), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        low = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "near-lowest")
+        if low.where("m <> u and n > 1").isEmpty():
+            release(low)
+            out = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+            out._tf_path = edges._tf_path
+            return out
+        large = both.join(beside(low.drop("n")), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = written(large.groupBy("u").agg(F.min("v").alias("m")), "near-lowest")
         small = large.join(beside(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         before, edges = edges, written(small.where("u <> v").distinct(), "near-links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         release(before, low, least)
-        if now == last:
-            out = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-            out._tf_path = edges._tf_path
-            return out
-        last = now
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, weighted: bool) -> DataFrame:
