@@ -294,3 +294,12 @@ def test_sampling_does_not_depend_on_partitions(spark, bad):
         labels = table(spark, TABLES, "labels")
         a, b = quality.train(docs.repartition(7), labels), quality.train(docs.repartition(2), labels.repartition(3))
         assert (a.value == b.value).all()
+
+
+def test_numerals_are_no_letters():
+    from tickforge.llm.langid import Compressors
+
+    known = Compressors({"de": b"der die das und " * 20, "en": b"the and of that " * 20})
+    for text in (None, "", "12 _ !", "\u00b2 \u00bd \u2167"):
+        assert known.predict(text) == ("und", 0.0, False)
+    assert known.predict("\u00b2 the and of that")[0] == "en"

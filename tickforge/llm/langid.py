@@ -81,7 +81,8 @@ class Compressors:
     def predict(self, text: str | None, margin: float = MARGIN) -> tuple[str, float, bool]:
         """(language, score 0..1, accepted)."""
         plain = letters(text or "")
-        if not plain or not self.langs:
+        # Numerals such as superscripts and fractions are word characters, too, but no letters.
+        if not self.langs or not any(map(str.isalpha, plain)):
             return "und", 0.0, False
         raw = plain.encode("utf-8", "surrogatepass")
         sizes = np.array([len(p.compress(raw)) for p in self.packers], dtype=float)
