@@ -21,10 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Rows (of a bounded width) that one task of a ``written`` table of known size takes.
+TASK_ROWS = 25_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written to the shared folder named by ``spark.checkpoint.dir`` and read back: its
-    lineage is cut, its size is known to the optimizer, and a lost executor costs nothing."""
+    lineage is cut, its size is known to the optimizer, and a lost executor costs nothing.
+
+    ``rows`` is a bound of its rows, if the caller knows one: a small table is then written by a
+    task for each ``TASK_ROWS`` of them, not by one for each, nearly empty, shuffle partition."""
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // TASK_ROWS)))
     path = scratch_dir(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
