@@ -303,3 +303,28 @@ def test_numerals_are_no_letters():
     for text in (None, "", "12 _ !", "\u00b2 \u00bd \u2167"):
         assert known.predict(text) == ("und", 0.0, False)
     assert known.predict("\u00b2 the and of that")[0] == "en"
+
+
+@pytest.mark.parametrize("size", [5, 6, 7, 9])
+def test_short_items_are_found_wherever_the_edit_is(size):
+    rng = random.Random(size)
+    vocabulary = [f"w{i:03d}" for i in range(400)]
+    items = [(i, " ".join(rng.sample(vocabulary, size))) for i in range(60)]
+    index = decontam.Index(items)
+    for at in range(size):
+        hits = 0
+        for i, text in items:
+            w = text.split()
+            edited = [w[:at] + ["changed"] + w[at + 1 :], w[:at] + w[at + 1 :], w[:at] + ["put"] + w[at:]]
+            for e in edited:
+                document = rng.sample(vocabulary, 30) + e + rng.sample(vocabulary, 30)
+                hits += any(index.items[k][0] == i for k in index.matches(document))
+        assert hits >= (1.0 if size < 7 else 0.95) * 3 * len(items), (size, at, hits)
+
+
+def test_least_words_is_a_parameter(spark, make_docs):
+    bench = spark.createDataFrame([(1, "three short words")], "item_id long, text string")
+    docs = make_docs([(1, "here are three short words in a text"), (2, "nothing of it")])
+    assert decontam.find_leaks(docs, bench).count() == 0
+    assert [r["doc_id"] for r in decontam.find_leaks(docs, bench, least_words=3).collect()] == [1]
+    assert [r["doc_id"] for r in decontam.keep_clean(docs, bench, least_words=3).collect()] == [2]

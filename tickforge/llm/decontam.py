@@ -7,7 +7,8 @@ stays, as a random bit of (repetition, step, word) says; two sequences a few edi
 walk in step again, so that their copies agree in most places and edit distance becomes Hamming
 distance. Bit sampling of the copies (the start word always among them) makes LSH keys; every
 item is entered under several start words and ``repetitions`` walks, so the chance that a leak
-shares no key is small. Each candidate window is then verified by its exact edit distance.
+shares no key is small. Of an item so short that its edits may spoil every walk's first two words,
+one start word more than it may have edits is entered by itself: one of them is always left. Each candidate window is then verified by its exact edit distance.
 
 Items are taken in blocks of ``block_items`` (one broadcast index a block); all documents are
 read whole against every block.
@@ -106,7 +107,7 @@ class Index:
         spread = Counter(x for _, w, _ in self.items for x in set(w))
         self.bits = Bits()
         #: start word -> the word behind it (a walk's first new copy, sampled by every
-        #: repetition) -> {(repetition, further sampled steps): trie}
+        #: repetition; None: any word) -> {(repetition, further sampled steps): trie}
         self.starts: dict[str, dict[str, dict[tuple, dict]]] = {}
         for k, (_, w, _) in enumerate(self.items):
             steps = 6 if len(w) < 16 else 10 if len(w) < 32 else 14
@@ -121,6 +122,11 @@ class Index:
                     for word in self._copies(w, o, r, sample):
                         node = node.setdefault(word, {})
                     node.setdefault(None, []).append((k, o))
+            # An edit touches at most two of the pairs (start word, next).
+            if last <= 2 * self.items[k][2] + 1:
+                alone = sorted(range(len(w)), key=lambda o: (spread[w[o]] > max(2, len(self.items) // 50), -len(w[o]), o))
+                for o in alone[: self.items[k][2] + 1]:
+                    self.starts.setdefault(w[o], {}).setdefault(None, {}).setdefault((0, ()), {}).setdefault(None, []).append((k, o))
 
     def _copies(self, w: list[str], at: int, r: int, sample: tuple[int, ...]):
         """The words that the walk from ``at`` copies at the sampled steps ("" past the end)."""
@@ -137,7 +143,8 @@ class Index:
         tried: set[tuple[int, int]] = set()
         starts = self.starts
         for p in [i for i, x in enumerate(w) if x in starts]:
-            for (r, sample), trie in starts[w[p]].get(w[p + 1] if p + 1 < len(w) else "", _NONE).items():
+            behind = starts[w[p]]
+            for (r, sample), trie in (*behind.get(w[p + 1] if p + 1 < len(w) else "", _NONE).items(), *behind.get(None, _NONE).items()):
                 node = trie
                 for word in self._copies(w, p, r, sample):
                     node = node.get(word)
@@ -170,12 +177,12 @@ def _blocks(benchmark: DataFrame, block_items: int) -> list[list[tuple[int, str
         yield sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY, repetitions: int = REPETITIONS, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY, repetitions: int = REPETITIONS, least_words: int = LEAST_WORDS, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """doc_id, item_id, distance, item_words, start_word, end_word: one row a document and item."""
     schema = "doc_id long, item_id long, distance int, item_words int, start_word int, end_word int"
     parts = []
     for block in _blocks(benchmark, block_items):
-        shared = docs.sparkSession.sparkContext.broadcast(Index(block, similarity=similarity, repetitions=repetitions))
+        shared = docs.sparkSession.sparkContext.broadcast(Index(block, similarity=similarity, repetitions=repetitions, least_words=least_words))
 
         def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             index, out = shared.value, []
@@ -196,10 +203,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIM
     return out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY, repetitions: int = REPETITIONS, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY, repetitions: int = REPETITIONS, least_words: int = LEAST_WORDS, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """The documents (all their columns) that leak no item."""
     for block in _blocks(benchmark, block_items):
-        shared = docs.sparkSession.sparkContext.broadcast(Index(block, similarity=similarity, repetitions=repetitions))
+        shared = docs.sparkSession.sparkContext.broadcast(Index(block, similarity=similarity, repetitions=repetitions, least_words=least_words))
 
         def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             return batch.filter(pa.array([not shared.value.matches(words(t)) for t in texts_of(batch)], pa.bool_()))
