@@ -185,3 +185,15 @@ def test_entry_lists_the_operators():
     names = list(e.queries())
     assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 11)] and "pipeline" in names
     assert set(e.oracle_sql()) <= set(names)
+
+
+def test_nearest_of_extreme_norms(spark):
+    rng = np.random.default_rng(9)
+    plain = rng.normal(size=(120, 8))
+    scale = np.choose(np.arange(120) % 3, [1e-200, 1.0, 1e200])[:, None]
+    frame = lambda v: spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    want = {(r["query_id"], r["rank"]): r for r in ann.nearest(frame(plain)).collect()}
+    got = {(r["query_id"], r["rank"]): r for r in ann.nearest(frame(plain * scale)).collect()}
+    assert got.keys() == want.keys() and len(got) == 15
+    for k, r in got.items():
+        assert r["vec_id"] == want[k]["vec_id"] and abs(r["score"] - want[k]["score"]) < 1e-12

@@ -12,7 +12,7 @@ that the result can name. All rows are indexed and none is sampled.
 
 Defined cases: NULL vectors, zero vectors and such with a NULL or non-finite component take no
 part, nor do rows without a vec_id; a vec_id that repeats counts once, with the smallest of its
-vectors; vectors are compared with those of their own length only; an empty table gives no rows.
+vectors; very small and very large vectors count by their direction like others; vectors are compared with those of their own length only; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +29,15 @@ BLOCK_QUERIES = 512
 DEGREE, BUILD_BEAM, BEAM, ALPHA = 24, 48, 64, 1.2
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors, each times the power of two that brings its largest component below 1, so that
+    no square overflows or vanishes; a cosine stays the same to the bit."""
+    largest = np.abs(vectors).max(axis=1, keepdims=True)
+    return np.ldexp(vectors, -np.frexp(largest)[1])
+
+
 def _units(vectors: np.ndarray) -> np.ndarray:
+    vectors = _scaled(vectors)
     return (vectors / np.linalg.norm(vectors.astype(np.float64), axis=1, keepdims=True)).astype(np.float32)
 
 
@@ -193,6 +201,7 @@ def search(index: DataFrame, queries: DataFrame, *, neighbours: int = 5, beam: i
                 found, _ = beam_search(graph, _units(vec), r.start, _units(qvec), beam)
                 row, col = np.nonzero(found >= 0)
                 at = found[row, col]
+                vec, qvec = _scaled(vec), _scaled(qvec)
                 dot = np.einsum("ij,ij->i", qvec[row], vec[at])
                 score = dot / (np.sqrt(np.einsum("ij,ij->i", qvec, qvec))[row] * np.sqrt(np.einsum("ij,ij->i", vec, vec))[at])
                 out = pd.DataFrame({"query_id": np.repeat(qid[row], ids), "vec_id": members[at].ravel(), "score": np.repeat(score, ids)})
