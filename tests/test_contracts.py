@@ -58,3 +58,23 @@ def test_null_rates_and_duplicate_count(spark):
     assert rates == {"price": 0.3, "quantity": 0.0}
     dup = df.withColumn("trade_id", F.col("trade_id") % 4)  # values 0..3 over 10 rows
     assert contracts.duplicate_count(dup).collect()[0].duplicate_count == 6
+
+
+def test_one_pass_quarantine(spark, tmp_path):
+    rows = [(i, 10.0 if i % 3 else -1.0, 2.0, 20.0, 1718265600000, True if i % 5 else None, None) for i in range(1, 61)]
+    df = spark.createDataFrame(rows, TRADE_SCHEMA)
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            evaluated.add(len(pdf))
+            yield pdf
+
+    good, bad, seen = contracts.write_by_contract(df.mapInPandas(counted, TRADE_SCHEMA), str(tmp_path / "q"))
+    ok, not_ok = contracts.split_by_contract(df)
+    assert good.exceptAll(ok).isEmpty() and good.count() == ok.count() == 32
+    assert bad.exceptAll(not_ok).isEmpty() and bad.count() == not_ok.count() == 28
+    assert evaluated.value == 60  # neither the measures nor the second side read the input again
+    assert seen == {"total_rows": 60, "accepted_rows": 32, "invalid_prices": 20, "invalid_quantities": 0, "max_null_pct": 1 / 5}
+    good, bad, seen = contracts.write_by_contract(df.limit(0), str(tmp_path / "empty"))
+    assert good.count() == bad.count() == seen["total_rows"] == 0 and seen["max_null_pct"] == 0.0

@@ -81,3 +81,22 @@ def test_csv_days(spark):
     t = files.from_records(spark, [{"trade_id": 1, "price": 1.0}]).withColumn("day", F.lit("2024-06-13"))
     sinks.write_csv_days(t, root)
     assert os.path.isdir(os.path.join(root, "day=2024-06-13"))
+
+
+def test_archives_are_dealt_by_size(spark):
+    sizes = [(f"a{i}", s) for i, s in enumerate([900, 10, 20, 400, 30, 500, 40, 450, 50, 60, 300, 600])]
+    plan = files.plan_archives(sizes, 4)
+    loads = [sum(dict(sizes)[p] for p in part) for part in plan]
+    assert sorted(p for part in plan for p in part) == sorted(p for p, _ in sizes)
+    assert max(loads) <= 4 / 3 * max(900, sum(loads) / 4)
+    assert len(files.plan_archives(sizes[:2], 4)) == 2
+
+    d = _tmp()
+    for i in range(12):
+        with zipfile.ZipFile(os.path.join(d, f"{i}.zip"), "w") as zf:
+            zf.writestr("t.csv", "".join(f"{i * 1000 + k},1,1,1,1,true,true\n" for k in range(5 * (i + 1) ** 2)))
+    df = files.read_trades_zip(spark, d, tasks=4)
+    per_task = [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(per_task) == 4 and sum(per_task) == sum(5 * (i + 1) ** 2 for i in range(12))
+    assert df.select("trade_id").distinct().count() == sum(per_task)
+    assert files.read_trades_zip(spark, _tmp()).count() == 0

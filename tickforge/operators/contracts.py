@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickforge.schema import TRADE_COLS
@@ -87,6 +87,32 @@ def split_by_contract(df: DataFrame, variant: str = "trade") -> tuple[DataFrame,
     return checked.where("is_valid").drop("violations", "is_valid"), checked.where("not is_valid").drop("is_valid")
 
 
+def write_by_contract(df: DataFrame, root: str, variant: str = "trade") -> tuple[DataFrame, DataFrame, dict]:
+    """Write accepted and quarantined rows from one evaluation of ``df``, under ``is_valid=true``
+    and ``is_valid=false`` of ``root``; both read back, and the measures of the written stream.
+
+    The measures (total_rows, accepted_rows, invalid_prices, invalid_quantities, max_null_pct) are
+    observed while the rows are written, so an empty or bad input is known without a second scan.
+    A side without rows reads back as an empty table; an empty input measures 0 throughout."""
+    seen = Observation("row contract")
+    checked = row_contract(df, variant)
+    cols = [c for c in TRADE_COLS if c in df.columns]
+    n = F.count(F.lit(1))
+    nulls = [F.count_if(F.col(c).isNull()) / F.greatest(n, F.lit(1)) for c in cols]
+    measured = checked.observe(
+        seen,
+        n.alias("total_rows"),
+        F.count_if(F.col("is_valid")).alias("accepted_rows"),
+        F.count_if(F.col("price") <= 0).alias("invalid_prices"),
+        F.count_if(F.col("quantity") <= 0).alias("invalid_quantities"),
+        F.greatest(*nulls, F.lit(0.0)).alias("max_null_pct"),
+    )
+    measured.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("is_valid").parquet(root)
+    back = df.sparkSession.read.schema(checked.schema).parquet(root)
+    accepted = back.where("is_valid").drop("violations", "is_valid")
+    return accepted, back.where("not is_valid").drop("is_valid"), seen.get
+
+
 def dataset_contract(
     df: DataFrame,
     *,

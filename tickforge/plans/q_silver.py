@@ -8,6 +8,7 @@ from tickforge.operators import contracts, silver
 from tickforge.operators.features import size_features
 from tickforge.plans.registry import register
 from tickforge.plans.sql_tapes import E_TAPE, L_BROKEN, L_TAPE, with_tapes
+from tickforge.session import scratch_dir
 from tickforge.sources.tapes import tape_events, tape_lineitem, tape_lineitem_broken
 
 LI_DEDUPE_ORDER = ("timestamp", "price", "quantity", "quote_quantity", "l_partkey", "l_suppkey")
@@ -96,6 +97,28 @@ def q_row_contract(spark, sf):
                     "is_valid")
 
 
+@register(
+    "quarantine_one_pass",
+    "C1 C3",
+    with_tapes(L_TAPE, L_BROKEN)
+    + """
+SELECT trade_id, "timestamp", l_partkey, l_suppkey, violations, is_valid, count(*) OVER () AS total_rows,
+       CAST(count_if(is_valid) OVER () AS BIGINT) AS accepted_rows,
+       CAST(count_if(coalesce(price <= 0, false)) OVER () AS BIGINT) AS invalid_prices
+FROM ("""
+    + _ROW_CONTRACT_SQL.replace("SELECT trade_id,", "SELECT price, trade_id,", 1)
+    + ")",
+)
+def q_quarantine_one_pass(spark, sf):
+    good, bad, seen = contracts.write_by_contract(tape_lineitem_broken(spark, sf), scratch_dir(spark, "quarantine"))
+    keys = ["trade_id", "timestamp", "l_partkey", "l_suppkey"]
+    good = good.select(*keys, F.lit("").alias("violations"), F.lit(True).alias("is_valid"))
+    bad = bad.select(*keys, F.array_join("violations", ",").alias("violations"), F.lit(False).alias("is_valid"))
+    return good.unionByName(bad).select(
+        "*", *[F.lit(seen[c]).cast("long").alias(c) for c in ("total_rows", "accepted_rows", "invalid_prices")]
+    )
+
+
 @register(
     "api_contract_violations",
     "C2",

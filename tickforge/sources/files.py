@@ -5,6 +5,7 @@ are Spark/Hadoop configuration."""
 from __future__ import annotations
 
 import csv
+import heapq
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -67,15 +68,39 @@ def _unzip_first_csv(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield pd.DataFrame(chunk, columns=TRADE_COLS)
 
 
-def read_trades_zip(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+def plan_archives(sizes: Sequence[tuple[str, int]], tasks: int) -> list[list[str]]:
+    """Archives dealt to at most ``tasks`` tasks, the largest first, each to the task with the
+    fewest bytes so far (the fullest task holds at most 4/3 of the least possible)."""
+    load = [(0, i) for i in range(max(1, min(tasks, len(sizes))))]
+    plan: list[list[str]] = [[] for _ in load]
+    for path, size in sorted(sizes, key=lambda x: (-x[1], x[0])):
+        held, i = heapq.heappop(load)
+        plan[i].append(path)
+        heapq.heappush(load, (held + size, i))
+    return plan
+
+
+def read_trades_zip(spark: SparkSession, path: str, glob: str = "*.zip", tasks: int | None = None) -> DataFrame:
     """Zipped daily CSV archives; the first ``.csv`` member of each archive is read, an
     archive without one is an error. Archives are listed with the ``binaryFile`` source reading
-    only their paths (the content column is pruned, so no archive becomes one in-memory value);
-    each task opens its archive as a stream. One task per archive (zip is not splittable); rows
-    leave in 50k-row batches, so memory stays bounded. Returns raw strings."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
-    files = files.repartition(F.col("path"))  # one archive per task
-    return files.mapInPandas(_unzip_first_csv, RAW_TRADE_SCHEMA)
+    only their paths and sizes (the content column is pruned, so no archive becomes one in-memory
+    value; the driver's file index holds this list anyway). They are dealt by size to ``tasks``
+    tasks (default: four a core, at most one an archive, since zip is not splittable), whose number
+    no adaptive re-planning changes. Each archive is opened as a stream and rows leave in 50k-row
+    batches, so memory stays bounded. Returns raw strings."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
+    sizes = [(r["path"], r["length"]) for r in found.collect()]
+    if not sizes:
+        return spark.createDataFrame([], RAW_TRADE_SCHEMA)
+    bins = plan_archives(sizes, tasks or 4 * spark.sparkContext.defaultParallelism)
+    shared = spark.sparkContext.broadcast(bins)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i in pdf["id"]:
+                yield from _unzip_first_csv(iter([pd.DataFrame({"path": shared.value[i]})]))
+
+    return spark.range(0, len(bins), 1, len(bins)).mapInPandas(run, RAW_TRADE_SCHEMA)
 
 
 def read_parquet_chunks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
