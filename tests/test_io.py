@@ -100,3 +100,17 @@ def test_archives_are_dealt_by_size(spark):
     assert len(per_task) == 4 and sum(per_task) == sum(5 * (i + 1) ** 2 for i in range(12))
     assert df.select("trade_id").distinct().count() == sum(per_task)
     assert files.read_trades_zip(spark, _tmp()).count() == 0
+
+
+def test_one_day_reads_its_own_files_only(spark):
+    root = _tmp()
+    df = spark.range(90).select("id", F.format_string("2024-06-%02d", F.col("id") % 9 + 1).alias("ds"))
+    df.write.mode("overwrite").partitionBy("ds").parquet(root)
+    day = files.read_partition(spark, root, "2024-06-03")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: [") :].split("]")[0]
+    assert "ds" in filters and "2024-06-03" in filters, filters
+    touched = {r["f"] for r in day.select(F.input_file_name().alias("f")).collect()}
+    assert day.count() == 10 and all("ds=2024-06-03" in f for f in touched)
+    with pytest.raises(FileNotFoundError):
+        files.read_partition(spark, root, "2024-06-30")

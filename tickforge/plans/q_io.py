@@ -79,7 +79,7 @@ def q_json_macro_roundtrip(spark, sf):
 
 @register(
     "silver_write_read_prune",
-    "K1 K2 S5 S6 S7 X1 O1",
+    "K1 K2 S5 S7 X1 O1",
     with_tapes(E_TAPE)
     + """
 , d AS (SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY "timestamp" DESC, price DESC, quantity DESC,
@@ -95,12 +95,28 @@ def q_silver_write_read_prune(spark, sf):
     chunks = files.read_parquet_chunks(spark, spark.read.parquet(f"{root}/bronze").inputFiles())
     # Silver: filter, newest-wins dedupe, typed projection, written by day (K2, O1).
     sinks.write_partitions(silver.silver(chunks), f"{root}/silver", "partition_date")
-    day = chunks.agg(F.min("ds")).first()[0]
-    files.read_partition(spark, f"{root}/silver", day, "partition_date")  # one day, pruned (S6)
     back = files.read_partition(spark, f"{root}/silver", None, "partition_date")  # all days (S7)
     return back.select(*TRADE_COLS, "partition_date")
 
 
+@register(
+    "silver_one_day",
+    "S6 K2",
+    with_tapes(E_TAPE)
+    + """
+, d AS (SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY "timestamp" DESC, price DESC, quantity DESC,
+                                     quote_quantity DESC) AS rn FROM e WHERE price > 0 AND quantity > 0)
+SELECT trade_id, price, quantity, quote_quantity, "timestamp", is_buyer_maker, is_best_match, ds AS partition_date
+FROM d WHERE rn = 1 AND ds = (SELECT max(ds) FROM d WHERE rn = 1)""",
+)
+def q_silver_one_day(spark, sf):
+    """The newest day of the lake alone: a partition filter, no file of another day is read."""
+    root = scratch_dir(spark, "lake-day")
+    sinks.write_partitions(silver.silver(tape_events(spark, sf)), root, "partition_date")
+    day = spark.read.parquet(root).agg(F.max(F.col("partition_date").cast("string"))).first()[0]
+    return files.read_partition(spark, root, day, "partition_date").select(*TRADE_COLS, "partition_date")
+
+
 @register("gold_write_read", "K3 S7 F1", gold_sql("ds"))
 def q_gold_write_read(spark, sf):
     root = scratch_dir(spark, "gold")

@@ -14,6 +14,8 @@ from tickforge.operators.sequence import drop_helpers, ordered_windows, rows_fra
 from tickforge.plans.registry import register
 from tickforge.plans.rounding import fround, sql_fround
 from tickforge.plans.sql_tapes import E_TAPE, with_tapes
+from tickforge.session import scratch_dir
+from tickforge.sources import versions
 from tickforge.sources.tapes import EVENTS_ORDER, tape_events
 
 N_KNOTS = 11
@@ -345,6 +347,32 @@ def q_online_topk_payload(spark, sf):
     return got.select("key", "v.*", "expires_at_ms")
 
 
+@register(
+    "online_publish_versions",
+    "K7 O2 U3",
+    with_tapes(E_TAPE)
+    + """
+, older AS (SELECT * FROM e WHERE "timestamp" < (SELECT max("timestamp") - 86400000 FROM e)),
+a AS (SELECT 1 AS version, * FROM older ORDER BY "timestamp" DESC, trade_id DESC LIMIT 1000),
+b AS (SELECT 2 AS version, * FROM e ORDER BY "timestamp" DESC, trade_id DESC LIMIT 1000)
+SELECT version, 'eth_feature:' || CAST(trade_id AS VARCHAR) AS key, price, "timestamp" FROM a
+UNION ALL
+SELECT version, 'eth_feature:' || CAST(trade_id AS VARCHAR), price, "timestamp" FROM b""",
+)
+def q_online_publish_versions(spark, sf):
+    """The table of all days but the last 24 hours, then that of all: both versions read back."""
+    t = tape_events(spark, sf)
+    as_of = t.agg(F.max("timestamp")).first()[0]
+    root = scratch_dir(spark, "online-versions")
+    parts = []
+    for version, rows in enumerate((t.where(F.col("timestamp") < as_of - 86_400_000), t), 1):
+        versions.publish(online.online_table(rows, as_of), root)
+        parts.append(versions.read_version(spark, root).withColumn("version", F.lit(version)))
+    kv = parts[0].unionByName(parts[1]).where(F.col("key") != online.KEY_PREFIX + online.LATEST)
+    kv = kv.withColumn("v", F.from_json("payload", "price double, timestamp bigint"))
+    return kv.select("version", "key", "v.price", "v.timestamp")
+
+
 @register(
     "online_lookup_outcomes",
     "J1 M12",

@@ -23,7 +23,7 @@ from tickforge.operators import features as feat
 from tickforge.operators import online, silver
 from tickforge.schema import DEFAULT_ORDER
 from tickforge.session import scratch_dir
-from tickforge.sources import sinks
+from tickforge.sources import sinks, versions
 
 # Up to this many touched days a micro-batch names them in a partition filter.
 MAX_LISTED_DAYS = 10_000
@@ -170,7 +170,8 @@ def refresh_gold(
         g = spark.read.parquet(gold_root)
         as_of = g.agg(F.max("timestamp")).first()[0]
         if as_of is not None:
-            online.online_table(g, as_of).write.mode("overwrite").parquet(online_root)
+            versions.publish(online.online_table(g, as_of), online_root)
+            versions.retire(spark, online_root)
 
 
 def stream_gold_table(spark: SparkSession, stream_tape: DataFrame, root: str | None = None) -> DataFrame:
