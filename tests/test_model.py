@@ -116,3 +116,16 @@ def test_permutation_scores_the_whole_sample(spark):
     assert len(perm) == 6 and all((r["n"], r["rows"], r["s"]) == (3000, 3000, sum(x[2] for x in rows)) for r in perm)
     orders = {tuple(r["late"] for r in seen[-1].where(f"feature = 'late' AND repeat = {k}").orderBy("_row").collect()) for k in range(3)}
     assert len(orders) == 3  # another order each time
+
+
+def test_fit_deals_rows_to_few_tasks(spark, monkeypatch):
+    """A fit is hundreds of jobs, each with a task a partition: their number follows the rows and
+    the cores, not the partitions that the rows come in."""
+    assert [mdl.fit_tasks(n, 12) for n in (0, 1, 20_000, 20_001, 80_000, 5_000_000, 50_000_000)] == [1, 1, 1, 2, 4, 12, 50]
+    seen = []
+    fit = mdl.Pipeline.fit
+    monkeypatch.setattr(mdl.Pipeline, "fit", lambda self, df, *a: seen.append((df.rdd.getNumPartitions(), df.count())) or fit(self, df, *a))
+    df = spark.range(0, 400, 1, 40).selectExpr("cast(id % 20 as double) AS x", "cast(id AS double) AS other", "id % 20 * 2.0D AS target_y")
+    model = mdl.fit_gbt(df, ["x"], maxIter=2, minInstancesPerNode=1)
+    assert seen == [(1, 400)]
+    assert model.stages[-1].numFeatures == 1
