@@ -95,3 +95,37 @@ def test_unreadable_table_raises_and_keeps_its_rows(spark, tmp_path, monkeypatch
     (tmp_path / "table" / "ds=2024-01-01" / "part-broken.snappy.parquet").unlink()
     assert spark.read.parquet(root).count() == 100
     assert not streams._table_exists(spark, str(tmp_path / "none"))
+
+
+def test_refresh_publishes_from_the_newest_rows_only(spark, tmp_path, monkeypatch):
+    """The online table is made from the rows since the oldest published one, ties and NULL
+    timestamps included, and equals the table made from all rows."""
+    made, build = [], streams.online.online_table
+    monkeypatch.setattr(streams.online, "online_table", lambda df, as_of: made.append((df.count(), as_of)) or build(df, as_of))
+
+    def table(name, n, when):
+        batch = spark.range(1, n + 1).selectExpr(
+            "id AS trade_id", "1.0D + id % 7 AS price", "2.0D AS quantity", "2.0D * (1 + id % 7) AS quote_quantity",
+            f"{when} AS timestamp", "id % 2 = 0 AS is_buyer_maker", "true AS is_best_match")
+        roots = [str(tmp_path / name / part) for part in ("silver", "gold", "online")]
+        streams.refresh_gold(batch, *roots)
+        got = streams.versions.read_version(spark, roots[2])
+        ref = build(spark.read.parquet(roots[1]), made[-1][1])
+        assert got.count() == ref.count() and got.exceptAll(ref).count() == 0
+        return made[-1][0], got.count()
+
+    assert table("many", 5000, "1718265600000 + 10 * (id div 3)") == (1002, 1001)  # 1,000 rows and two that tie with the last
+    assert table("few", 40, "if(id % 8 = 0, null, 1718265600000 + id)") == (40, 41)
+
+
+def test_wide_features_run_as_compilable_methods(spark):
+    from tickforge.operators import features as feat
+    from tickforge.session import METHOD_LIMIT
+
+    own = spark.newSession()
+    assert own.conf.get(METHOD_LIMIT, None) is None
+    feat.gold_features(tape_events(own, SF001), group_cols=["symbol"], order_cols=("timestamp", "trade_id"))
+    assert own.conf.get(METHOD_LIMIT) == "8000"
+    own.conf.set(METHOD_LIMIT, "20000")
+    feat.gold_features(tape_events(own, SF001), group_cols=["symbol"], order_cols=("timestamp", "trade_id"))
+    assert own.conf.get(METHOD_LIMIT) == "20000"

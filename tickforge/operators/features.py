@@ -27,6 +27,7 @@ from tickforge.operators.sequence import (
     with_sequence,
 )
 from tickforge.schema import DEFAULT_ORDER
+from tickforge.session import compilable_methods
 
 # Default window sizes, lag steps and volatility windows of the Gold feature set,
 # the windows always added to it, and the training-script preset.
@@ -171,6 +172,7 @@ def trade_features(
     ``targets``: horizons ``h`` for ``target_next`` (h = 1, next price) and
     ``target_logret_<h>`` (log return over ``h`` rows); NULL on the last ``h`` rows.
     """
+    compilable_methods(df.sparkSession)
     group_cols = list(group_cols)
     windows = sorted(set(int(w) for w in windows))
     lag_steps = sorted(set(int(k) for k in lag_steps))

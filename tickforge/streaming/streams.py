@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tickforge.operators import features as feat
 from tickforge.operators import online, silver
 from tickforge.schema import DEFAULT_ORDER
-from tickforge.session import scratch_dir
+from tickforge.session import compilable_methods, scratch_dir
 from tickforge.sources import sinks, versions
 
 # Up to this many touched days a micro-batch names them in a partition filter.
@@ -168,9 +168,12 @@ def refresh_gold(
     sinks.write_partitions(gold.checkpoint(eager=True), gold_root, "partition_date", allow_empty=True)
     if online_root is not None:
         g = spark.read.parquet(gold_root)
-        as_of = g.agg(F.max("timestamp")).first()[0]
-        if as_of is not None:
-            versions.publish(online.online_table(g, as_of), online_root)
+        # Two columns (at most LAST_N rows of them) tell since when the published rows are: all
+        # columns are then read of those files and row groups only, not of the whole table.
+        newest = [r["timestamp"] for r in online.last_rows(g.select("timestamp", "trade_id")).collect()]
+        if newest and newest[0] is not None:
+            recent = g if newest[-1] is None else g.where(F.col("timestamp") >= newest[-1])
+            versions.publish(online.online_table(recent, newest[0]), online_root)
             versions.retire(spark, online_root)
 
 
@@ -183,6 +186,7 @@ def stream_gold_table(spark: SparkSession, stream_tape: DataFrame, root: str | N
         lambda b, _eid: refresh_gold(b, silver_root, gold_root, online_root),
         scratch_dir(spark, "ckpt-gold"),
     )
+    compilable_methods(spark)  # batches run in a session of their own; the rows are wide here, too
     return spark.read.parquet(gold_root).withColumn("partition_date", F.col("partition_date").cast("string"))
 
 
