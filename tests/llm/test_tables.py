@@ -183,7 +183,7 @@ def test_entry_lists_the_operators():
     import __spark_entry__ as e
 
     names = list(e.queries())
-    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 11)] and "pipeline" in names
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 14)] and "pipeline" in names
     assert set(e.oracle_sql()) <= set(names)
 
 
