@@ -40,6 +40,50 @@ def test_texts_read_as_their_words_do(spark):
     assert back == whole and codec.by_word
 
 
+class _Counted:
+    """A tokenizer that notes how many words it is given at once."""
+
+    def __init__(self, inner):
+        self.inner, self.sizes = inner, []
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def encode_batch_fast(self, words, **kw):
+        self.sizes.append(len(words))
+        return self.inner.encode_batch_fast(words, **kw)
+
+
+def test_codec_holds_little():
+    """Long words are remembered by their characters, and the library gets few words at once."""
+    draw = random.Random(5)
+    codec = spm.Codec(model_bytes(), 1, cached_words=200)
+    codec.tokenizer = _Counted(codec.tokenizer)
+    held = []
+    for _ in range(30):
+        texts = [" ".join("%0400x" % draw.getrandbits(1600) for _ in range(10)) for _ in range(3)]
+        assert codec.encode_flat(texts)[2] == texts
+        held.append(sum(map(len, codec.words)) + sum(map(len, codec.older)))
+    assert max(held) < 50_000  # of 360,000 met, and 160,000 in twice 200 words
+    text = " ".join(f"w{i}" for i in range(30_000))
+    assert codec.encode_flat([text])[2] == [text]
+    assert max(codec.tokenizer.sizes) <= 5_000
+
+
+def test_arrow_batches_are_bounded_in_bytes(make_docs):
+    """A worker is sent some MB of text at a time, however long the texts are."""
+    from tickforge.llm.common import map_texts
+
+    def size(batch):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_pydict({"size": [batch.column(1).buffers()[2].size], "rows": [batch.num_rows]})
+
+    docs = make_docs([(i, str(i % 10) * 200_000) for i in range(100)]).select("doc_id", "text").coalesce(1)
+    rows = map_texts(docs, size, "size long, rows long").collect()
+    assert sum(r["rows"] for r in rows) == 100 and max(r["size"] for r in rows) < 10_000_000
+
+
 def test_codec_round_trip(make_docs):
     df = make_docs([*enumerate(ODD), (None, "null id"), (90, None), (90, "again"), (91, "▁x")])
     out = spm.encode_documents(df, model_bytes())

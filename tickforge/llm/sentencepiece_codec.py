@@ -31,6 +31,10 @@ MARKER = "▁"
 # Fixed values of the public model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+#: Words that go to the library at once.
+BATCH_WORDS = 4_096
+#: Characters of a word, on average, beyond which fewer words are remembered.
+WORD_CHARS = 16
 
 
 @dataclass
@@ -150,8 +154,8 @@ class Codec:
 
     Where no piece has the marker behind another character, no token crosses from one word to the
     next: then only the words not met before go to the library, in batches on ``threads`` threads,
-    and a text's ids are those of its words. Twice ``cached_words`` words are remembered at most,
-    and those of one batch."""
+    and a text's ids are those of its words. Twice ``cached_words`` words are remembered at most
+    (or twice ``WORD_CHARS`` times as many characters, where words are long), and those of one batch."""
 
     def __init__(self, data: bytes, threads: int = 2, cached_words: int = 200_000):
         import os
@@ -171,9 +175,12 @@ class Codec:
         self.plain = not model.charsmap and not model.squeeze_spaces and model.dummy_prefix
         if self.by_word:
             self.tokenizer.normalizer = normalizers.Sequence([])
-        # Ids (as int32) of the words met, and what they decode to; and those of the turn before.
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        # Ids (as int32) of the words met, and of those of the turn before; markers are spaces here.
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # What a word of these decodes to, if that is not the word itself.
+        self.other: dict[str, str] = {}
+        self.held = 0
         self.cached_words = cached_words
         self.prefix = model.dummy_prefix
         # What a piece reads as by itself; None for bytes that need their neighbours.
@@ -185,11 +192,12 @@ class Codec:
             self.shown.append(piece.replace(MARKER, " ") if byte < 0 else chr(byte) if byte < 128 else None)
 
     def _split(self, text: str) -> list[str]:
+        """The words of the normalised text, with spaces for its markers (no space is left in it)."""
         if self.plain:
-            text = MARKER + text.replace(" ", MARKER) if text else text
+            text = " " + text if text else text
         else:
             text = self.normalizer.normalize_str(text)
-        return self.word.findall(text)
+        return self.word.findall(text.replace(MARKER, " "))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         flat, ends, _ = self.encode_flat(texts)
@@ -202,22 +210,29 @@ class Codec:
             flat = np.fromiter((x for row in ids for x in row), dtype=np.int32)
             return flat, np.cumsum([0, *map(len, ids)]), self.decode(ids)
         split = [self._split(t) for t in texts]
-        if len(self.words) > self.cached_words:
+        if len(self.words) > self.cached_words or self.held > WORD_CHARS * self.cached_words:
             # Words met since the last turn stay for one more; the others are forgotten.
-            self.older, self.words = self.words, {}
+            self.older, self.words, self.held = self.words, {}, 0
+            self.other = {w: text for w, text in self.other.items() if w in self.older}
         known, older = self.words, self.older
         new = list({w for words in split for w in words if w not in known})
+        self.held += sum(map(len, new))
         known.update((w, older[w]) for w in new if w in older)
         new = [w for w in new if w not in known]
-        for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            ids = e.ids
-            known[word] = (array("i", ids).tobytes(), self._word_text(ids))
-        parts, back = [], []
+        # What the library tells of a word takes far more room than its ids.
+        for at in range(0, len(new), BATCH_WORDS):
+            some = new[at : at + BATCH_WORDS]
+            for word, e in zip(some, self.tokenizer.encode_batch_fast([w.replace(" ", MARKER) for w in some], add_special_tokens=False)):
+                ids = e.ids
+                known[word] = array("i", ids).tobytes()
+                text = self._word_text(ids)
+                if text != word:
+                    self.other[word] = text
+        parts, back, other = [], [], self.other
         for words in split:
-            got = [known[w] for w in words]
-            parts.append(b"".join([x[0] for x in got]))
+            parts.append(b"".join([known[w] for w in words]))
             # Bytes of a character stay within a word, so a text reads as its words do.
-            text = "".join([x[1] for x in got])
+            text = "".join([other.get(w, w) for w in words] if other else words)
             back.append(text[1:] if self.prefix and text[:1] == " " else text)
         return np.frombuffer(b"".join(parts), dtype=np.int32), np.cumsum([0, *map(len, parts)]) // 4, back
 
@@ -248,8 +263,8 @@ class Codec:
         return out
 
 
-_WORD = re.compile(f"{MARKER}+[^{MARKER}]*|[^{MARKER}]+")
-_WORD_OR_LINE = re.compile(f"{MARKER}+[^{MARKER}\n]*|[^{MARKER}\n]+|\n+")
+_WORD = re.compile(" +[^ ]*|[^ ]+")
+_WORD_OR_LINE = re.compile(" +[^ \n]*|[^ \n]+|\n+")
 
 
 def parity(data: bytes, texts: list[str]) -> list[bool]:
