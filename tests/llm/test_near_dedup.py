@@ -2,8 +2,10 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from tickforge.llm.common import Powers, table
+from tickforge.llm import near_dedup
+from tickforge.llm.common import Powers, table, watched, written
 from tickforge.llm.near_dedup import components, keep_first, near_duplicates, shingle_sets, signatures
 
 from .conftest import TABLES
@@ -120,3 +122,18 @@ def test_whole_table(spark):
     docs = table(spark, TABLES, "documents")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     assert classes(near_duplicates(docs)) == brute(rows)
+
+
+def test_no_query_only_counts_rows(spark, make_docs, monkeypatch):
+    """Every count comes with the write of its table, and each round lets the driver drop broadcasts."""
+    rows = [(i, " ".join(f"w{g}x{k}" for k in range(40 + i % 3))) for i, g in enumerate([1, 1, 1, 2, 2, 3])]
+    docs, frame, rounds = make_docs(rows), type(spark.range(0)), []
+    monkeypatch.setattr(near_dedup, "free_broadcasts", rounds.append)
+    with monkeypatch.context() as m:
+        m.setattr(frame, "count", lambda self: 1 / 0)
+        m.setattr(frame, "isEmpty", lambda self: 1 / 0)
+        out = near_duplicates(docs)
+    assert classes(out) == brute(rows) and rounds
+    for n in (0, 7):
+        table_ = written(spark.range(n), "counted", watch={"rows": F.count(F.lit(1)), "odd": F.count_if(F.col("id") % 2 == 1)})
+        assert (watched(table_), watched(table_, "odd")) == (n, n // 2) == (table_.count(), table_.where("id % 2 = 1").count())

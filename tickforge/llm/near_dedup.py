@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickforge.llm.common import Powers, beside, by_id, map_texts, mix, release, texts_of, written
+from tickforge.llm.common import Powers, beside, by_id, free_broadcasts, map_texts, mix, release, texts_of, watched, written
 from tickforge.operators.sequence import content_hash
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -188,6 +188,11 @@ def _measures(sets: DataFrame, similarity: float, weighted: bool) -> DataFrame:
     return sized.where(F.col("shared") >= similarity * F.col("size") - 1e-9)
 
 
+def _counted(df: DataFrame, name: str, rows: int | None = None, **watch: "F.Column") -> DataFrame:
+    """``written``, its rows counted."""
+    return written(df, name, rows, watch={"rows": F.count(F.lit(1)), **watch})
+
+
 def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, label) of the nodes of ``links`` (a, b; at most ``rows``): label is the smallest node of
     the component.
@@ -195,21 +200,22 @@ def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     Alternating large-star and small-star steps (each a partial aggregate and a join on the
     node), written to the shared folder; ends when the links are stars: every node that has a
     smaller neighbour has no other one."""
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "near-links", rows)
+    edges = _counted(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "near-links", rows)
     while True:
-        rows = 2 * edges.count()  # a link has two nodes, and a step makes no more links than that
+        rows = 2 * watched(edges)  # a link has two nodes, and a step makes no more links than that
         # Both minima are partial aggregates, one row a node; a hot node's edges stay where they are.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "near-lowest", rows)
-        if low.where("m <> u and n > 1").isEmpty():
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+        low = _counted(low, "near-lowest", rows, open=F.count_if(F.expr("m <> u and n > 1")))
+        if not watched(low, "open"):
             release(low)
             out = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-            out._tf_path = edges._tf_path
+            out._tf_path, out._tf_watched = edges._tf_path, edges._tf_watched
             return out
-        large = both.join(beside(low.drop("n")), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "near-lowest", rows)
-        small = large.join(beside(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        before, edges = edges, written(small.where("u <> v").distinct(), "near-links", rows)
+        large = both.join(beside(low.drop("n"), watched(low)), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        least = _counted(large.groupBy("u").agg(F.min("v").alias("m")), "near-lowest", rows)
+        small = large.join(beside(least, watched(least)), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        before, edges = edges, _counted(small.where("u <> v").distinct(), "near-links", rows)
         release(before, low, least)
 
 
@@ -219,7 +225,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, weighted: bo
     other = sets.select(F.col("rep").alias("a"), F.col("elements").alias("ea"), F.col("counts").alias("ca"))
     if not weighted:
         own, other = own.drop("cb"), other.drop("ca")
-    met = own.join(beside(pairs), "b").join(other, "a")
+    met = own.join(beside(pairs, watched(pairs)), "b").join(other, "a")
     if weighted:
         near = F.map_from_arrays("eb", "cb")
         shared = F.aggregate(F.zip_with("ea", "ca", lambda e, c: F.least(c, F.coalesce(F.element_at(near, e), F.lit(0)))), F.lit(0).cast("long"), lambda s, x: s + x)
@@ -232,7 +238,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float, weighted: bo
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """``members`` with the label of their class; ``labels`` as ``components`` gives them."""
-    named = members.join(beside(labels).select(F.col("node").alias("rep"), "label"), "rep", "left")
+    named = members.join(beside(labels, watched(labels)).select(F.col("node").alias("rep"), "label"), "rep", "left")
     return named.withColumn("label", F.coalesce("label", "rep"))
 
 
@@ -253,23 +259,23 @@ def near_duplicates(docs: DataFrame, **how) -> DataFrame:
 
 def _classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, shingle_words: int = SHINGLE_WORDS, weighted: bool = False) -> tuple[DataFrame, DataFrame]:
     """The signed documents, and same, class_id of every set."""
-    marks = written(signed(docs, bands=bands, rows=rows, shingle_words=shingle_words, weighted=weighted), "near-signatures")
+    marks = _counted(signed(docs, bands=bands, rows=rows, shingle_words=shingle_words, weighted=weighted), "near-signatures")
     # Equal sets go on as one node (rep), numbered once for all by this write: a doc_id that comes
     # with several texts has several nodes.
     reps = marks.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
-    reps = written(reps.withColumn("rep", F.monotonically_increasing_id()), "near-representatives", marks.count())
+    reps = _counted(reps.withColumn("rep", F.monotonically_increasing_id()), "near-representatives", watched(marks))
     # ``earlier`` holds the keys of the bands before: a pair that shares one of them meets there.
     members = reps.where(F.col("id").isNotNull()).select("rep", "bands", F.posexplode("bands").alias("band", "key"))
     members = members.select("rep", "band", "key", F.slice("bands", F.lit(1), F.col("band")).alias("earlier"))
     shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
-    members = written(members.join(shared, ["band", "key"]), "near-members", bands * reps.count())
+    members = _counted(members.join(shared, ["band", "key"]), "near-members", bands * watched(reps))
     met = reps.select("same", "id", "rep").join(members.select("rep").distinct(), "rep", "left_semi")
     wanted = by_id(docs).join(met.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     # All texts of these doc_ids; the digest tells which set each of them is.
     sets = _sets(wanted, shingle_words, weighted).groupBy("same").agg(*[F.first(c).alias(c) for c in ("elements", "counts", "print")])
-    sets = written(sets.join(met.select("same", "rep"), "same").drop("same"), "near-sets")
-    measures = written(_measures(sets, similarity, weighted), "near-measures", sets.count())
-    most = members.count()
+    sets = _counted(sets.join(met.select("same", "rep"), "same").drop("same"), "near-sets")
+    measures = written(_measures(sets, similarity, weighted), "near-measures", watched(sets))
+    most = watched(members)
     members = members.join(measures, "rep")
     shared = members.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
     members = members.join(shared, ["band", "key"])
@@ -281,31 +287,32 @@ def _classes(docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BA
     links = texts.join(texts.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b"))
     links = written(links, "near-found")
     labels = components(links)
-    members = written(_labelled(members, labels), "near-members", most)
+    members = _counted(_labelled(members, labels), "near-members", most)
     lanes = 1
-    while most := members.count():
+    while most := watched(members):
+        free_broadcasts(docs.sparkSession)
         # The leader is the member with the smallest share of lone elements: the most central one.
         typical = F.struct((1 - F.col("shared") / F.col("size")).alias("lone"), F.col("rep").alias("led"), *[F.col(c).alias(f"led_{c}") for c in ("size", "shared", "label", "print", "earlier")])
         leaders = members.groupBy("band", "key", F.pmod(F.xxhash64("rep"), F.lit(lanes)).alias("lane")).agg(F.min(typical).alias("x"))
-        leaders = written(leaders.select("band", "key", *[f"x.led{c}" for c in ("", "_size", "_shared", "_label", "_print", "_earlier")]), "near-leaders", most)
-        led = beside(leaders)
+        leaders = _counted(leaders.select("band", "key", *[f"x.led{c}" for c in ("", "_size", "_shared", "_label", "_print", "_earlier")]), "near-leaders", most)
+        led = beside(leaders, watched(leaders))
         pairs = members.join(led, ["band", "key"]).where((F.col("label") != F.col("led_label")) & _may_link(similarity) & ~F.arrays_overlap("earlier", "led_earlier"))
         # In a round of one leader a bucket no member has more than one pair there.
-        pairs = written(pairs.select(F.least("rep", "led").alias("a"), F.greatest("rep", "led").alias("b")).distinct(), "near-pairs", lanes * most)
-        some = pairs.count()
-        found = written(_verified(pairs, sets, similarity, weighted), "near-found", some)
+        pairs = _counted(pairs.select(F.least("rep", "led").alias("a"), F.greatest("rep", "led").alias("b")).distinct(), "near-pairs", lanes * most)
+        some = watched(pairs)
+        found = _counted(_verified(pairs, sets, similarity, weighted), "near-found", some)
         old = labels
-        if not found.isEmpty():
+        if watched(found):
             # A label stands for its class: links between labels carry the classes on.
             links = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found)
-            labels = components(links, labels.count() + some)
+            labels = components(links, watched(labels) + some)
         # A leader has met every member of its bucket and leaves it. Buckets whose other members
         # are all of one class are done.
         rest = members.join(led.select("band", "key", F.col("led").alias("rep")), ["band", "key", "rep"], "left_anti")
         rest = written(_labelled(rest.drop("label"), labels), "near-members", most)
         mixed = rest.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
-        mixed = written(mixed, "near-mixed", most)
-        before, members = members, written(rest.join(beside(mixed), ["band", "key"]), "near-members", most)
+        mixed = _counted(mixed, "near-mixed", most)
+        before, members = members, _counted(rest.join(beside(mixed, watched(mixed)), ["band", "key"]), "near-members", most)
         release(before, leaders, pairs, found, rest, mixed, *([old] if old is not labels else []))
         lanes = max(LEADERS, 4 * lanes)
     # From nodes to doc_ids: the smallest of a class, brought to its sets by a salted join.
