@@ -129,3 +129,22 @@ def test_fit_deals_rows_to_few_tasks(spark, monkeypatch):
     model = mdl.fit_gbt(df, ["x"], maxIter=2, minInstancesPerNode=1)
     assert seen == [(1, 400)]
     assert model.stages[-1].numFeatures == 1
+
+
+def test_matrix_input_is_read_as_often_however_many_jobs_use_it(spark):
+    """Positions and targets are made once: the count, the knots and the codes read one copy."""
+    from pyspark.sql import functions as F
+
+    read = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = spark.range(0, 400, 1, 4).selectExpr("id AS trade_id", "id AS timestamp", "CAST(id % 17 AS DOUBLE) AS price", "CAST(id % 5 AS DOUBLE) AS x")
+    matrix, knots = mdl.prepare_matrix(rows.mapInArrow(watch, rows.schema), ["x", "price"])
+    before = read.value
+    assert before <= 400 * 3  # the plan of the buckets, their counts and the numbering
+    assert matrix.count() == 399 and matrix.agg(F.max("x")).first()[0] == 255 and set(knots) == {"x", "price"}
+    assert read.value == before

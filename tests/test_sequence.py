@@ -157,3 +157,22 @@ def test_constant_leading_key_is_split_by_the_next(spark):
     got = [r["id"] for r in out.orderBy("seq").collect()]
     want = [i for _, _, i in sorted((x for x in rows if x[1] == x[1]), key=lambda x: x[1:])] + [i for _, v, i in rows if v != v]
     assert got == want
+
+
+def test_wide_quantiles_match_the_long_form(spark, monkeypatch):
+    """Many columns at once, in several chunks and ranges: NULL, NaN, -0.0, hot and absent values."""
+    from tickforge.operators import sequence
+
+    monkeypatch.setattr(sequence, "WIDE_CELLS", 200)
+    rng = np.random.default_rng(1)
+    rows = [
+        (float(a), int(i % 3), None if i % 7 == 0 else float("nan") if i % 50 == 0 else float(c), None, -0.0 if i % 2 else 0.0)
+        for i, (a, c) in enumerate(rng.normal(size=(600, 2)).round(2))
+    ]
+    df = spark.createDataFrame(rows, "a double, b int, c double, d double, z double").repartition(3)
+    long = df.selectExpr("stack(5, 'a', a, 'b', CAST(b AS DOUBLE), 'c', c, 'd', d, 'z', z) AS (feature, v)")
+    for probs, size in (([0.0, 0.5, 1.0], 2_000_000), ([i / 99 for i in range(100)], 90)):
+        want = {r["feature"]: str((r["edges"], r["n_values"])) for r in exact_quantiles(long, "v", probs, ["feature"]).collect()}
+        got = sequence.exact_quantiles_wide(df, df.columns, probs, rows_per_bucket=size).collect()
+        assert {r["feature"]: str((r["edges"], r["n_values"])) for r in got} == want and set(want) == {"a", "b", "c", "z"}
+    assert sequence.exact_quantiles_wide(df.limit(0), ["a"], [0.5]).collect() == []
